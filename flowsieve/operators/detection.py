@@ -13,7 +13,6 @@ from flowsieve.functions import ratios
 from flowsieve.functions.checks import first_present
 from flowsieve.operators.counts import literal_rows
 from flowsieve.operators.coverage import attack_types, tag_group
-from flowsieve.schema import NORMAL_LABEL
 
 LABEL_COLUMNS = ["attack_type", "label", "attack"]
 
@@ -101,7 +100,7 @@ def detection_by_group(
     sums = [F.sum("total").alias("samples")]
     sums += [F.sum(_named(m, "detected")).alias(_named(m, "detected")) for m in models]
     sums += [F.sum("suspicious").alias("suspicious")] if decision else []
-    totals = by_type.filter(F.col("attack_type") != NORMAL_LABEL).groupBy("group").agg(*sums)
+    totals = by_type.groupBy("group").agg(*sums)
     measured = [c for c in totals.columns if c != "group"]
     table = literal_rows(df, "group", list(names)).join(totals, "group", "left").fillna(0, measured)
     columns = [F.col("group"), F.col("samples")]

@@ -20,9 +20,9 @@ TABLE_SCHEMA = T.StructType(
 
 def create_alert_table(spark: SparkSession, path: str) -> None:
     """Create an empty table unless there is one."""
-    if read_if_exists(spark, path, schema=TABLE_SCHEMA.simpleString()[7:-1]) is None:
+    if read_if_exists(spark, path, schema=TABLE_SCHEMA) is None:
         empty = spark.createDataFrame([], TABLE_SCHEMA)
-        empty.write.mode("ignore").parquet(path)
+        empty.write.mode("ignore").partitionBy("alert_date", "batch_id").parquet(path)
 
 
 def append_alerts(alerts: DataFrame, path: str, batch_id: int = 0) -> None:

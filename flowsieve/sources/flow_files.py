@@ -39,7 +39,7 @@ def read_flows(
 
 
 def read_if_exists(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None
 ) -> DataFrame | None:
     """The stored table, or None where nothing was stored."""
     reader = spark.read.format(fmt)
