@@ -63,10 +63,18 @@ FEATURES = [name for name, _ in FLOW_FIELDS]
 NUMERIC = [name for name in FEATURES if name not in CATEGORICAL]
 
 
-def _struct(fields, nullable=True):
-    ddl = ", ".join(f"`{name}` {kind}" for name, kind in fields)
-    parsed = T.StructType.fromDDL(ddl)
-    return T.StructType([T.StructField(f.name, f.dataType, nullable) for f in parsed])
+_TYPES = {
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(fields):
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 FLOW_SCHEMA = _struct(FLOW_FIELDS)

@@ -37,7 +37,9 @@ def stream_records(
         .option("startingOffsets", starting)
         .load()
     )
-    position = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    position = F.concat_ws(
+        "-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")
+    )
     return records.select(position.alias("flow_id"), F.col("value").cast("string").alias("body"))
 
 
@@ -74,7 +76,7 @@ def start_statistics(
     checkpoint: str,
     interval: str | None = "10 seconds",
 ) -> StreamingQuery:
-    """Keep the decision statistics current: one row, rewritten by every micro-batch.
+    """Keep the decision statistics current: one row per micro-batch, of which readers take the newest.
 
     Without an interval the available input is processed and the query ends.
     """
