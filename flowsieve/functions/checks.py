@@ -41,12 +41,12 @@ def check_records(df: DataFrame, body: str = "body") -> DataFrame:
     of the wrong type) and ``accepted``.
     """
     with_corrupt = T.StructType([*FLOW_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn(
-        "flow",
-        F.from_json(
-            body, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-        ),
+    record = F.from_json(
+        body, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
+    # A generator's output is computed once per row; a plain column would be parsed again for
+    # every field that reads it.
+    parsed = df.select("*", F.explode(F.array(record)).alias("flow"))
     problems = []
     for field in FLOW_SCHEMA.fields:
         value = F.col("flow").getField(field.name)

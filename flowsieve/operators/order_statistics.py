@@ -123,7 +123,7 @@ def lowest_key_cut(df: DataFrame, by: str, key: str, quota) -> DataFrame:
     )
     ordered = Window.partitionBy(by).orderBy(key)
     return (
-        sliced.join(cut_slice, [by, "slice"])
+        sliced.join(F.broadcast(cut_slice), [by, "slice"])
         .withColumn("place", F.row_number().over(ordered))
         .filter(F.col("place") == F.col("position"))
         .select(by, F.col(key).alias("cut_key"))
