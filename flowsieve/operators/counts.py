@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.functions.ratios import safe_ratio
+from flowsieve.functions.tally import size
 from flowsieve.schema import DECISIONS, NORMAL_LABEL
 
 
@@ -82,11 +83,11 @@ def normal_attack_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def decision_distribution(df: DataFrame, decision: str = "decision") -> DataFrame:
+def decision_distribution(
+    df: DataFrame, decision: str = "decision", weight: str | None = None
+) -> DataFrame:
     """Count and percentage of all three decisions, zero classes kept."""
-    counts = df.groupBy(F.col(decision).alias("decision")).agg(
-        F.count(F.lit(1)).alias("samples")
-    )
+    counts = df.groupBy(F.col(decision).alias("decision")).agg(size(weight).alias("samples"))
     listed = literal_rows(df, "decision", DECISIONS).join(counts, "decision", "left")
     return add_share(listed.fillna(0, ["samples"]), "samples", "percentage")
 

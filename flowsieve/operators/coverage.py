@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.functions.ratios import safe_ratio
+from flowsieve.functions.tally import size
 from flowsieve.schema import NORMAL_LABEL
 
 
@@ -32,20 +33,20 @@ def rows_of_types(df: DataFrame, types: DataFrame) -> DataFrame:
     return df.filter(F.col("target") == 1).join(types.select("label"), "label", "left_semi")
 
 
-def attack_counts(df: DataFrame, name: str) -> DataFrame:
+def attack_counts(df: DataFrame, name: str, weight: str | None = None) -> DataFrame:
     return (
         df.filter(F.col("label") != NORMAL_LABEL)
         .groupBy("label")
-        .agg(F.count(F.lit(1)).alias(name))
+        .agg(size(weight).alias(name))
     )
 
 
-def joined_counts(train: DataFrame, test: DataFrame) -> DataFrame:
+def joined_counts(train: DataFrame, test: DataFrame, weight: str | None = None) -> DataFrame:
     """Train and test rows per attack type. Both sides are counted first, so the outer join
     only sees one row per type."""
     return (
-        attack_counts(train, "train_count")
-        .join(attack_counts(test, "test_count"), "label", "full")
+        attack_counts(train, "train_count", weight)
+        .join(attack_counts(test, "test_count", weight), "label", "full")
         .fillna(0, ["train_count", "test_count"])
     )
 
@@ -71,9 +72,11 @@ def with_percentages(counts: DataFrame) -> DataFrame:
     )
 
 
-def attack_distribution(train: DataFrame, test: DataFrame) -> DataFrame:
+def attack_distribution(
+    train: DataFrame, test: DataFrame, weight: str | None = None
+) -> DataFrame:
     """The distribution report: counts, coverage flags, shares; most frequent in test first."""
-    report = joined_counts(train, test).transform(with_coverage).transform(with_percentages)
+    report = joined_counts(train, test, weight).transform(with_coverage).transform(with_percentages)
     return report.orderBy(F.desc("test_count"), F.asc("label"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.functions import ratios
 from flowsieve.functions.checks import first_present
+from flowsieve.functions.tally import size, tally
 from flowsieve.operators.counts import literal_rows
 from flowsieve.operators.coverage import attack_types, tag_group
 
@@ -31,6 +32,7 @@ def detection_by_type(
     models: dict[str, Column | str],
     decision: str | None = None,
     include_normal: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rows, detections, misses and recall per label for each model.
 
@@ -38,11 +40,11 @@ def detection_by_type(
     of the input; otherwise only attack rows count.
     """
     rows = df if include_normal else df.filter(F.col("target") == 1)
-    aggregates = [F.count(F.lit(1)).alias("total")]
+    aggregates = [size(weight).alias("total")]
     for name, predicted in models.items():
-        aggregates.append(F.count_if(_fires(predicted)).alias(_named(name, "detected")))
+        aggregates.append(tally(_fires(predicted), weight).alias(_named(name, "detected")))
     if decision:
-        aggregates.append(F.count_if(F.col(decision) == "SUSPICIOUS").alias("suspicious"))
+        aggregates.append(tally(F.col(decision) == "SUSPICIOUS", weight).alias("suspicious"))
     table = rows.groupBy(F.col(label_column(df)).alias("attack_type")).agg(*aggregates)
     columns = [F.col("attack_type"), F.col("total")]
     for name in models:
@@ -67,19 +69,34 @@ def grouped_detection_by_type(
     models: dict[str, Column | str],
     decision: str | None = None,
     include_normal: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """``detection_by_type`` with each label tagged shared / test_only. ``normal`` is no training
     attack type, so when kept it is tagged test_only."""
-    table = detection_by_type(df, models, decision, include_normal)
+    table = detection_by_type(df, models, decision, include_normal, weight)
     return tag_group(table, attack_types(train), label="attack_type")
 
 
 def detection_within(
-    df: DataFrame, types: DataFrame, predicted: Column | str
+    df: DataFrame, types: DataFrame, predicted: Column | str, weight: str | None = None
 ) -> DataFrame:
     """Per-type detection restricted to a set of types."""
     wanted = types.select(F.col("label").alias("attack_type"))
-    return detection_by_type(df, {"": predicted}).join(wanted, "attack_type", "left_semi")
+    table = detection_by_type(df, {"": predicted}, weight=weight)
+    return table.join(wanted, "attack_type", "left_semi")
+
+
+def detection_in_group(
+    df: DataFrame,
+    train: DataFrame,
+    group: str,
+    predicted: Column | str,
+    weight: str | None = None,
+) -> DataFrame:
+    """Per-type detection of the ``shared`` or of the ``test_only`` types. Each input is read
+    once: the types of the test side are the rows of the table itself."""
+    table = grouped_detection_by_type(df, train, {"": predicted}, weight=weight)
+    return table.filter(F.col("group") == group).drop("group")
 
 
 def detection_by_group(
@@ -88,15 +105,15 @@ def detection_by_group(
     models: dict[str, Column | str],
     decision: str | None = None,
     names: tuple[str, str] = ("SHARED", "TEST_ONLY"),
+    weight: str | None = None,
 ) -> DataFrame:
     """Samples, detections, misses, precision, recall and f1 of the shared and the test-only
     attack types, one row per group even when a group is empty.
 
     Only attack rows are counted, so precision is 1 whenever anything is detected.
     """
-    by_type = tag_group(
-        detection_by_type(df, models, decision), attack_types(train), *names, label="attack_type"
-    )
+    table = detection_by_type(df, models, decision, weight=weight)
+    by_type = tag_group(table, attack_types(train), *names, label="attack_type")
     sums = [F.sum("total").alias("samples")]
     sums += [F.sum(_named(m, "detected")).alias(_named(m, "detected")) for m in models]
     sums += [F.sum("suspicious").alias("suspicious")] if decision else []

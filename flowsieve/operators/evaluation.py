@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.functions import ratios
 from flowsieve.functions.decisions import class_name
+from flowsieve.functions.tally import size, tally
 from flowsieve.operators.counts import literal_rows
 from flowsieve.schema import DECISIONS
 
@@ -16,15 +17,17 @@ def _positive(column: Column) -> Column:
     return column.cast("int") == 1
 
 
-def confusion_columns(truth: str, predicted: Column | str, prefix: str = "") -> list[Column]:
+def confusion_columns(
+    truth: str, predicted: Column | str, prefix: str = "", weight: str | None = None
+) -> list[Column]:
     """The four aggregate columns tn, fp, fn, tp."""
     predicted = F.col(predicted) if isinstance(predicted, str) else predicted
     actual, flagged = _positive(F.col(truth)), _positive(predicted)
     return [
-        F.count_if(~actual & ~flagged).alias(f"{prefix}tn"),
-        F.count_if(~actual & flagged).alias(f"{prefix}fp"),
-        F.count_if(actual & ~flagged).alias(f"{prefix}fn"),
-        F.count_if(actual & flagged).alias(f"{prefix}tp"),
+        tally(~actual & ~flagged, weight).alias(f"{prefix}tn"),
+        tally(~actual & flagged, weight).alias(f"{prefix}fp"),
+        tally(actual & ~flagged, weight).alias(f"{prefix}fn"),
+        tally(actual & flagged, weight).alias(f"{prefix}tp"),
     ]
 
 
@@ -37,13 +40,19 @@ def metric_columns(tn="tn", fp="fp", fn="fn", tp="tp") -> list[Column]:
     ]
 
 
-def confusion_counts(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
-    return df.agg(*confusion_columns(truth, predicted))
+def confusion_counts(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
+    return df.agg(*confusion_columns(truth, predicted, weight=weight))
 
 
-def binary_metrics(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
+def binary_metrics(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
     """tn, fp, fn, tp, accuracy, precision, recall and f1 in one row."""
-    return confusion_counts(df, truth, predicted).select("tn", "fp", "fn", "tp", *metric_columns())
+    return confusion_counts(df, truth, predicted, weight).select(
+        "tn", "fp", "fn", "tp", *metric_columns()
+    )
 
 
 def metrics_from_counts(counts: DataFrame) -> DataFrame:
@@ -51,7 +60,9 @@ def metrics_from_counts(counts: DataFrame) -> DataFrame:
     return counts.select("*", *metric_columns())
 
 
-def confusion_matrix(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
+def confusion_matrix(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
     """Two rows (true class) by two columns (predicted class), zeros kept."""
     rows = F.array(
         F.struct(
@@ -65,12 +76,14 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: Column | str) -> Data
             F.col("tp").alias("predicted_attack"),
         ),
     )
-    return confusion_counts(df, truth, predicted).select(F.inline(rows))
+    return confusion_counts(df, truth, predicted, weight).select(F.inline(rows))
 
 
-def class_metrics(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
+def class_metrics(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
     """Confusion counts, accuracy and precision / recall / f1 of both classes in one row."""
-    return confusion_counts(df, truth, predicted).select(
+    return confusion_counts(df, truth, predicted, weight).select(
         "tn",
         "fp",
         "fn",
@@ -85,7 +98,9 @@ def class_metrics(df: DataFrame, truth: str, predicted: Column | str) -> DataFra
     )
 
 
-def classification_report(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
+def classification_report(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
     """Both classes, accuracy, macro and weighted averages, in print order by ``position``."""
     normal_support, attack_support = F.col("tn") + F.col("fp"), F.col("fn") + F.col("tp")
     support = normal_support + attack_support
@@ -117,7 +132,7 @@ def classification_report(df: DataFrame, truth: str, predicted: Column | str) ->
         entry(4, "macro avg", macro, support),
         entry(5, "weighted avg", weighted, support),
     )
-    return class_metrics(df, truth, predicted).select(F.inline(rows))
+    return class_metrics(df, truth, predicted, weight).select(F.inline(rows))
 
 
 def model_comparison(
@@ -125,11 +140,12 @@ def model_comparison(
     truth: str,
     models: dict[str, Column | str],
     thresholds: dict[str, float] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row of metrics per named prediction column, all from one aggregate."""
     aggregates = []
     for number, predicted in enumerate(models.values()):
-        aggregates += confusion_columns(truth, predicted, f"m{number}_")
+        aggregates += confusion_columns(truth, predicted, f"m{number}_", weight)
     entries = []
     for number, name in enumerate(models):
         cells = [f"m{number}_{cell}" for cell in ("tn", "fp", "fn", "tp")]
@@ -143,23 +159,27 @@ def model_comparison(
     return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
-def model_agreement(df: DataFrame, first: str, second: str) -> DataFrame:
+def model_agreement(
+    df: DataFrame, first: str, second: str, weight: str | None = None
+) -> DataFrame:
     """Where two detectors agree and where only one of them fires."""
     a, b = _positive(F.col(first)), _positive(F.col(second))
     return df.agg(
-        F.count_if(~a & ~b).alias("both_normal"),
-        F.count_if(a & b).alias("both_attack"),
-        F.count_if(a & ~b).alias("first_only"),
-        F.count_if(~a & b).alias("second_only"),
+        tally(~a & ~b, weight).alias("both_normal"),
+        tally(a & b, weight).alias("both_attack"),
+        tally(a & ~b, weight).alias("first_only"),
+        tally(~a & b, weight).alias("second_only"),
     )
 
 
-def decisions_by_class(df: DataFrame, truth: str = "target", decision: str = "decision"):
+def decisions_by_class(
+    df: DataFrame, truth: str = "target", decision: str = "decision", weight: str | None = None
+) -> DataFrame:
     """True class by decision, every cell present."""
     counted = (
         df.groupBy(class_name(truth).alias("true_class"))
         .pivot(decision, DECISIONS)
-        .agg(F.count(F.lit(1)))
+        .agg(size(weight))
     )
     return (
         literal_rows(df, "true_class", ["NORMAL", "ATTACK"])
@@ -169,21 +189,25 @@ def decisions_by_class(df: DataFrame, truth: str = "target", decision: str = "de
     )
 
 
-def suspicious_quality(df: DataFrame, truth: str = "target", decision: str = "decision"):
+def suspicious_quality(
+    df: DataFrame, truth: str = "target", decision: str = "decision", weight: str | None = None
+) -> DataFrame:
     """How many suspicious rows really are attacks."""
     suspicious = F.col(decision) == "SUSPICIOUS"
     counts = df.agg(
-        F.count_if(suspicious).alias("suspicious_total"),
-        F.count_if(suspicious & (F.col(truth) == 1)).alias("suspicious_attacks"),
-        F.count_if(suspicious & (F.col(truth) == 0)).alias("suspicious_normals"),
+        tally(suspicious, weight).alias("suspicious_total"),
+        tally(suspicious & (F.col(truth) == 1), weight).alias("suspicious_attacks"),
+        tally(suspicious & (F.col(truth) == 0), weight).alias("suspicious_normals"),
     )
     return counts.withColumn(
         "suspicious_attack_rate", ratios.safe_ratio("suspicious_attacks", "suspicious_total")
     )
 
 
-def missed_attacks(df: DataFrame, truth: str, predicted: Column | str) -> DataFrame:
-    return confusion_counts(df, truth, predicted).select(F.col("fn").alias("missed_attacks"))
+def missed_attacks(
+    df: DataFrame, truth: str, predicted: Column | str, weight: str | None = None
+) -> DataFrame:
+    return confusion_counts(df, truth, predicted, weight).select(F.col("fn").alias("missed_attacks"))
 
 
 def with_correctness(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.operators.order_statistics import exact_quantiles
+from flowsieve.operators.order_statistics import count_values, exact_quantiles
 from flowsieve.schema import NORMAL_LABEL, NUMERIC
 
 
@@ -118,9 +118,11 @@ def box_statistics(df: DataFrame, attack: str, features: list[str]) -> DataFrame
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("value")
-    # Two populations times the listed features: a fixed, known number of rows.
+    # Two populations times the listed features: a fixed, known number of rows. The whiskers only
+    # need distinct values, which the quantiles have already shuffled.
     return (
-        values.join(F.broadcast(boxes), keys)
+        count_values(values, keys, "value")
+        .join(F.broadcast(boxes), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(value >= F.col("q1") - reach, value)).alias("low"),

@@ -10,6 +10,7 @@ from flowsieve.ml.bundle import Detector
 from flowsieve.operators import coverage, detection, evaluation, reports, sweeps
 from flowsieve.operators.counts import decision_distribution
 from flowsieve.schema import HYBRID_CUTS
+from flowsieve.session import scratch_path
 from flowsieve.sources.flow_files import write_scored
 from flowsieve.sources.results import read_result, write_result
 
@@ -19,22 +20,46 @@ MODELS = {
     "Hybrid IDS": "hybrid_prediction",
 }
 SHORT_MODELS = {"rf": "rf_prediction", "if": "if_anomaly", "hybrid": "hybrid_prediction"}
+WEIGHT = "flows"
 
 
 def with_hybrid_prediction(scored: DataFrame) -> DataFrame:
     return scored.withColumn("hybrid_prediction", is_positive("decision"))
 
 
+def outcome_counts(scored: DataFrame) -> DataFrame:
+    """The scored rows folded to one row per label, class and outcome, weighted by ``flows``."""
+    return with_hybrid_prediction(
+        scored.groupBy("label", "target", "rf_prediction", "if_anomaly", "decision").agg(
+            F.count(F.lit(1)).alias(WEIGHT)
+        )
+    )
+
+
+def label_counts(train: DataFrame) -> DataFrame:
+    """The training rows folded to one row per label, weighted by ``flows``."""
+    return train.groupBy("label", "target").agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that it is computed once."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
 def validation_tables(detector: Detector, test: DataFrame, path: str) -> dict[str, DataFrame]:
-    """Score the test rows once, store them, and derive the validation tables from the store."""
+    """Score the test rows once, store them, and derive the validation tables from their
+    outcome counts."""
     write_scored(detector.score(test), path)
-    stored = with_hybrid_prediction(test.sparkSession.read.parquet(path))
+    outcomes = stored(outcome_counts(test.sparkSession.read.parquet(path)), "outcomes")
+    hybrid = ("target", "hybrid_prediction", WEIGHT)
     return {
-        "summary": reports.final_validation(stored),
-        "confusion": evaluation.confusion_matrix(stored, "target", "hybrid_prediction"),
-        "report": evaluation.classification_report(stored, "target", "hybrid_prediction"),
-        "distribution": decision_distribution(stored),
-        "by_class": evaluation.decisions_by_class(stored),
+        "summary": reports.final_validation(outcomes, weight=WEIGHT),
+        "confusion": evaluation.confusion_matrix(outcomes, *hybrid),
+        "report": evaluation.classification_report(outcomes, *hybrid),
+        "distribution": decision_distribution(outcomes, weight=WEIGHT),
+        "by_class": evaluation.decisions_by_class(outcomes, weight=WEIGHT),
     }
 
 
@@ -45,45 +70,51 @@ def result_tables(
     if_threshold: float,
     cuts: list[float] = HYBRID_CUTS,
 ) -> dict[str, DataFrame]:
-    """All stored result tables but the combined summary, as lazy frames over ``scored``.
+    """All stored result tables but the combined summary.
 
-    ``scored`` should be a stored table: each result is one aggregate over it.
+    The training labels and the scored rows are each folded once into a small stored table, from
+    which every result but the threshold experiment is computed; that one takes a second scan of
+    the scores.
     """
-    rows = with_hybrid_prediction(scored)
+    seen = stored(label_counts(train), "labels")
+    outcomes = stored(outcome_counts(scored), "outcomes")
     pair = {"rf": "rf_prediction", "if": "if_anomaly"}
-    known, unseen = coverage.shared_types(train, rows), coverage.test_only_types(train, rows)
-    by_group = detection.detection_by_group(rows, train, SHORT_MODELS)
-    pair_groups = detection.detection_by_group(
-        rows, train, pair, names=("shared_attacks", "test_only_attacks")
-    )
     two = {name: MODELS[name] for name in ("Random Forest", "Isolation Forest")}
     cut_of = {"Random Forest": rf_threshold, "Isolation Forest": if_threshold}
-    by_type = detection.detection_by_type(rows, SHORT_MODELS, "decision")
+    by_group = detection.detection_by_group(outcomes, seen, SHORT_MODELS, weight=WEIGHT)
+
+    def within(group: str, predicted: str) -> DataFrame:
+        return detection.detection_in_group(outcomes, seen, group, predicted, WEIGHT)
+
     return {
-        "attack_distribution_report": coverage.attack_distribution(train, rows),
-        "shared_attack_evaluation": detection.detection_within(rows, known, "rf_prediction"),
-        "unseen_attack_evaluation": detection.detection_within(rows, unseen, "rf_prediction"),
-        "anomaly_shared_attack_evaluation": detection.detection_within(
-            rows, known, "if_anomaly"
+        "attack_distribution_report": coverage.attack_distribution(seen, outcomes, WEIGHT),
+        "shared_attack_evaluation": within("shared", "rf_prediction"),
+        "unseen_attack_evaluation": within("test_only", "rf_prediction"),
+        "anomaly_shared_attack_evaluation": within("shared", "if_anomaly"),
+        "anomaly_unseen_attack_evaluation": within("test_only", "if_anomaly"),
+        "rf_vs_if_model_comparison": evaluation.model_comparison(
+            outcomes, "target", two, cut_of, WEIGHT
         ),
-        "anomaly_unseen_attack_evaluation": detection.detection_within(
-            rows, unseen, "if_anomaly"
+        "rf_vs_if_group_comparison": detection.detection_by_group(
+            outcomes, seen, pair, names=("shared_attacks", "test_only_attacks"), weight=WEIGHT
         ),
-        "rf_vs_if_model_comparison": evaluation.model_comparison(rows, "target", two, cut_of),
-        "rf_vs_if_group_comparison": pair_groups,
         "rf_vs_if_attack_comparison": detection.grouped_detection_by_type(
-            rows, train, pair, include_normal=True
+            outcomes, seen, pair, include_normal=True, weight=WEIGHT
         ),
         "hybrid_attack_analysis": detection.grouped_detection_by_type(
-            rows, train, SHORT_MODELS, "decision"
+            outcomes, seen, SHORT_MODELS, "decision", weight=WEIGHT
         ),
         "hybrid_group_comparison": by_group,
-        "hybrid_threshold_experiment": sweeps.hybrid_sweep(rows, train, rf_threshold, cuts),
-        "final_model_comparison": evaluation.model_comparison(rows, "target", MODELS),
-        "final_hybrid_attack_analysis": by_type,
+        "hybrid_threshold_experiment": sweeps.hybrid_sweep(scored, seen, rf_threshold, cuts),
+        "final_model_comparison": evaluation.model_comparison(
+            outcomes, "target", MODELS, weight=WEIGHT
+        ),
+        "final_hybrid_attack_analysis": detection.detection_by_type(
+            outcomes, SHORT_MODELS, "decision", weight=WEIGHT
+        ),
         "final_hybrid_group_comparison": by_group,
-        "final_ids_analysis": reports.final_analysis(rows),
-        "final_ids_validation": reports.final_validation(rows),
+        "final_ids_analysis": reports.final_analysis(outcomes, weight=WEIGHT),
+        "final_ids_validation": reports.final_validation(outcomes, weight=WEIGHT),
     }
 
 
@@ -100,11 +131,11 @@ def write_result_tables(tables: dict[str, DataFrame], root: str, fmt: str = "csv
 
 
 def final_type_and_group_tables(
-    train: DataFrame, scored: DataFrame
+    train: DataFrame, scored: DataFrame, weight: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Per-type and per-group detection of the final decisions, on the label column."""
     rows = with_hybrid_prediction(scored)
     models = {"": F.col("hybrid_prediction")}
-    by_type = detection.detection_by_type(rows, models, "decision")
-    by_group = detection.detection_by_group(rows, train, models, "decision")
+    by_type = detection.detection_by_type(rows, models, "decision", weight=weight)
+    by_group = detection.detection_by_group(rows, train, models, "decision", weight=weight)
     return by_type, by_group

@@ -202,9 +202,10 @@ def final_detection_by_type(spark, sf_dir):
     return ranking.by_total(by_type)
 
 
-def _within(spark, sf_dir, types, predicted):
-    train, test = train_flows(spark, sf_dir), test_decisions(spark, sf_dir)
-    return detection.detection_within(test, types(train, test), predicted)
+def _within(spark, sf_dir, group, predicted):
+    return detection.detection_in_group(
+        test_decisions(spark, sf_dir), train_flows(spark, sf_dir), group, predicted
+    )
 
 
 @query(
@@ -216,7 +217,7 @@ def _within(spark, sf_dir, types, predicted):
     )
 )
 def shared_detection(spark, sf_dir):
-    return _within(spark, sf_dir, coverage.shared_types, "rf_prediction")
+    return _within(spark, sf_dir, "shared", "rf_prediction")
 
 
 @query(
@@ -228,7 +229,11 @@ def shared_detection(spark, sf_dir):
     )
 )
 def test_only_detection(spark, sf_dir):
-    return _within(spark, sf_dir, coverage.test_only_types, "rf_prediction")
+    return detection.detection_within(
+        test_decisions(spark, sf_dir),
+        coverage.test_only_types(train_flows(spark, sf_dir), test_flows(spark, sf_dir)),
+        "rf_prediction",
+    )
 
 
 @query(
@@ -242,7 +247,7 @@ def test_only_detection(spark, sf_dir):
 )
 def anomaly_shared_detection(spark, sf_dir):
     flagged = anomaly_cut("if_score", IF_THRESHOLD, "anomaly")
-    return _within(spark, sf_dir, coverage.shared_types, flagged)
+    return _within(spark, sf_dir, "shared", flagged)
 
 
 def _group_sql(models: dict[str, str], suspicious: bool = False, names=("SHARED", "TEST_ONLY")):

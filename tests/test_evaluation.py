@@ -154,3 +154,50 @@ def test_summary_of_what_exists(spark, scored):
     analysis = reports.final_analysis(scored)
     assert reports.performance_summary(None, None) is None
     assert reports.performance_summary(None, analysis).count() == 1
+
+
+def test_folded_rows_give_the_same_tables(scored, train):
+    from flowsieve.plans.evaluation import (
+        SHORT_MODELS,
+        WEIGHT,
+        final_type_and_group_tables,
+        label_counts,
+        outcome_counts,
+    )
+
+    folded, seen = outcome_counts(scored), label_counts(train)
+    assert folded.count() < 200 < scored.count()
+
+    def same(plain, weighted):
+        assert plain.dtypes == weighted.dtypes
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, weighted.collect()))
+
+    args = ("target", "hybrid_prediction")
+    for operator in (
+        evaluation.binary_metrics,
+        evaluation.confusion_matrix,
+        evaluation.class_metrics,
+        evaluation.classification_report,
+        evaluation.missed_attacks,
+    ):
+        same(operator(scored, *args), operator(folded, *args, weight=WEIGHT))
+    for operator in (
+        evaluation.decisions_by_class,
+        evaluation.suspicious_quality,
+        counts.decision_distribution,
+        reports.final_analysis,
+        reports.final_validation,
+    ):
+        same(operator(scored), operator(folded, weight=WEIGHT))
+    pair = ("rf_prediction", "if_anomaly")
+    same(evaluation.model_agreement(scored, *pair), evaluation.model_agreement(folded, *pair, WEIGHT))
+    for plain, weighted in zip(
+        final_type_and_group_tables(train, scored),
+        final_type_and_group_tables(seen, folded, WEIGHT),
+        strict=True,
+    ):
+        same(plain, weighted)
+    same(
+        detection.grouped_detection_by_type(scored, train, SHORT_MODELS, "decision", True),
+        detection.grouped_detection_by_type(folded, seen, SHORT_MODELS, "decision", True, WEIGHT),
+    )
