@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsieve.functions.ratios import safe_ratio
 from flowsieve.schema import ALERT_DECISIONS, ALERT_SCHEMA
 
 MAX_PAGE = 500
+# Up to here every task keeps the newest offset + limit rows in memory; deeper pages are located.
+NEAR_ROWS = 10_000
 
 
 def with_alert_flag(scored: DataFrame) -> DataFrame:
@@ -48,8 +50,65 @@ def alert_page(
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
         raise ValueError("offset must not be negative")
+    rows = filter_alerts(alerts, decision)
     order = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
-    return filter_alerts(alerts, decision).orderBy(*order).offset(offset).limit(limit)
+    if offset + limit <= NEAR_ROWS:
+        return rows.orderBy(*order).offset(offset).limit(limit)
+    return _located_page(rows, limit, offset).orderBy(*order)
+
+
+def _located_page(rows: DataFrame, limit: int, offset: int) -> DataFrame:
+    """A page far from the newest alert.
+
+    The order keys are range-partitioned over the cluster and each range reports its size and end
+    points. A job finds the span of the one or two ranges that hold the page; only their rows are
+    read again and ranked.
+    """
+    key = F.struct(F.unix_micros("created_at").alias("time"), "id", "flow_id")
+    first, last = offset + 1, offset + limit
+    newer = Window.orderBy(F.desc("newest")).rowsBetween(Window.unboundedPreceding, -1)
+    span = (
+        rows.select(key.alias("key"))
+        .repartitionByRange(F.desc("key"))
+        .groupBy(F.spark_partition_id())
+        .agg(
+            F.count(F.lit(1)).alias("inside"),
+            F.min("key").alias("oldest"),
+            F.max("key").alias("newest"),
+        )
+        .withColumn("before", F.coalesce(F.sum("inside").over(newer), F.lit(0)))
+        .filter((F.col("before") < last) & (F.col("before") + F.col("inside") >= first))
+        .agg(
+            F.min("before").alias("before"),
+            F.min("oldest").alias("oldest"),
+            F.max("newest").alias("newest"),
+        )
+        .first()
+    )
+    if span["before"] is None:
+        return rows.limit(0)
+
+    def bound(end):
+        return F.struct(
+            F.lit(end["time"]).cast("bigint").alias("time"),
+            F.lit(end["id"]).cast("bigint").alias("id"),
+            F.lit(end["flow_id"]).alias("flow_id"),
+        )
+
+    oldest, newest = span["oldest"], span["newest"]
+    newest_first = Window.orderBy(F.desc("created_at"), F.desc("id"), F.desc("flow_id"))
+    return (
+        # The first test repeats part of the second in a form that reaches the file scan.
+        rows.filter(
+            F.col("created_at").between(
+                F.timestamp_micros(F.lit(oldest["time"])), F.timestamp_micros(F.lit(newest["time"]))
+            )
+        )
+        .filter(key.between(bound(oldest), bound(newest)))
+        .withColumn("place", F.row_number().over(newest_first) + span["before"])
+        .filter(F.col("place").between(first, last))
+        .select(*rows.columns)
+    )
 
 
 def decision_statistics(decided: DataFrame) -> DataFrame:

@@ -106,6 +106,3 @@ def require_aligned(flows: DataFrame, predictions: DataFrame, key: str = "flow_i
         )
     return attach_predictions(flows, predictions, key)
 
-
-def select_features(df: DataFrame, features: list[str], keep: tuple = ()) -> DataFrame:
-    return df.select(*keep, *features)

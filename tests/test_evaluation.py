@@ -136,6 +136,18 @@ def test_page_arguments(spark, scored):
     assert alerts.alert_page(rows, 500, 10**6).count() == 0
 
 
+def test_deep_pages_equal_near_pages(scored, monkeypatch):
+    rows = alerts.alert_rows(scored, F.col("seen_at")).repartition(5).persist()
+    size = rows.count()
+    near = {at: alerts.alert_page(rows, 40, at).collect() for at in (0, 3, 333, size - 10, size)}
+    monkeypatch.setattr(alerts, "NEAR_ROWS", 0)
+    for at, expected in near.items():
+        assert alerts.alert_page(rows, 40, at).collect() == expected
+    only_attacks = alerts.alert_page(rows, 40, 100, "attack").collect()
+    monkeypatch.undo()
+    assert alerts.alert_page(rows, 40, 100, "attack").collect() == only_attacks
+
+
 def test_all_result_tables_are_stored(spark, scored, train, tmp_path):
     tables = result_tables(train, scored, 0.4, -0.1)
     assert set(tables) == set(RESULT_SCHEMAS) - {"final_performance_summary"}
