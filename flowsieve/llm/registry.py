@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import exact_dedup, mixing, slots
+from flowsieve.llm import exact_dedup, mixing, packing, simhash, slots
 from flowsieve.llm.common import read_table, stored, word_count
 from flowsieve.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Where the vocabulary files are: FLOWSIEVE_TOKENIZERS, or the installed public_tokenizers."""
+    folder = os.environ.get("FLOWSIEVE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def query(sql: str | None = None):
@@ -120,6 +132,19 @@ def op3_virtual_slots(spark, sf_dir):
     )
 
 
+@query()
+def op4_best_fit_decreasing(spark, sf_dir):
+    """Every piece of every document with its sequence and its place there."""
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, vocabulary_path())
+
+
+@query()
+def op5_simhash_pivots(spark, sf_dir):
+    """Every document's fingerprint and near-duplicate component."""
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
 WITH texts AS (
