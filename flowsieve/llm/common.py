@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowsieve.session import scratch_path
 from flowsieve.sources.tables import read_table
 
-__all__ = ["SPACE", "held_out", "read_table", "row_struct", "stored", "unpacked", "word_count"]
+__all__ = ["SPACE", "held_out", "read_table", "row_struct", "small_side", "stored", "unpacked", "word_count"]
 
 # Fixed: the white space of the text contracts, as the inside of a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -44,3 +44,13 @@ def unpacked(frame: DataFrame, columns: list[str], replaced: list[str], name: st
     return [
         F.col(name).getField(c).alias(c) for c in columns if c.lower() not in taken
     ]
+
+
+# A broadcast side has at most this many narrow rows (some tens of MB in memory).
+BROADCAST_ROWS = 500_000
+
+
+def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``frame``, a stored table of a few numbers a row, marked for broadcast if it was counted
+    to be small; otherwise unmarked, and the join shuffles both sides."""
+    return F.broadcast(frame) if frame.count() <= rows else frame

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import exact_dedup, mixing, packing, simhash, slots
-from flowsieve.llm.common import read_table, stored, word_count
+from flowsieve.llm import exact_dedup, language_id, mixing, packing, simhash, slots, toxicity
+from flowsieve.llm.common import held_out, read_table, stored, word_count
 from flowsieve.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,29 @@ def op8_heavy_hitter_dedup(spark, sf_dir):
     digests = docs.select("doc_id", exact_dedup.text_digest(F.col("text")).alias("text_sha256"))
     marked = exact_dedup.mark_duplicates(stored(digests, "digests"), digest="text_sha256")
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op9_kneser_ney_language(spark, sf_dir):
+    """Predicted language of every document, learnt from four fifths of them."""
+    docs = read_table(spark, sf_dir, "documents")
+    models = language_id.fit(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), models)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+@query()
+def op10_segment_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels of four fifths of them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(
+        docs.filter(~held_out(F.col("doc_id"))), labels.filter(~held_out(F.col("doc_id")))
+    )
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+        F.size("passages").alias("n_passages"),
+    )
