@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import exact_dedup, language_id, mixing, packing, simhash, slots, toxicity
+from flowsieve.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    multi_index,
+    packing,
+    simhash,
+    slots,
+    suffix_dedup,
+    toxicity,
+)
 from flowsieve.llm.common import held_out, read_table, stored, word_count
 from flowsieve.session import scratch_path
 
@@ -37,6 +47,13 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_inverted_multi_index(spark, sf_dir):
+    """The 20 nearest found of every twentieth vector."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return multi_index.nearest_neighbours(vectors, F.col("id") % 20 == 0)
+
+
 @query(
     r"""
 WITH sized AS (
@@ -189,3 +206,14 @@ def op10_segment_toxicity(spark, sf_dir):
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
         F.size("passages").alias("n_passages"),
     )
+
+
+@query()
+def op6_hash_suffix_dedup(spark, sf_dir):
+    """What is left of every document without the byte strings of 200 that occur elsewhere."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs, with_kept=False)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256",
+    )
