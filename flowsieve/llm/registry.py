@@ -14,6 +14,7 @@ from flowsieve.llm import (
     mixing,
     multi_index,
     packing,
+    page_text,
     simhash,
     slots,
     suffix_dedup,
@@ -217,3 +218,10 @@ def op6_hash_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256",
     )
+
+
+@query()
+def op7_recurrent_page_text(spark, sf_dir):
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return page_text.extract(pages, page_text.fit(pages)).select("page_id", "url", "text", "n_chars")
