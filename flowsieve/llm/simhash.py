@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -149,7 +148,7 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _group_links(largest: int, pivots: int, distance: int):
     """Streams rows sorted by key; per key yields spanning links, or its members marked hot."""
 
-    def compute(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         references = pivot_fingerprints(pivots)
         current, held, hot = None, [], False
 
@@ -161,12 +160,12 @@ def _group_links(largest: int, pivots: int, distance: int):
             signed = values.view(np.int64)
             return zip(signed[members].tolist(), signed[root[members]].tolist())
 
-        for frame in frames:
+        for batch in batches:
             out = []
-            for k, key, fp in zip(frame.k.tolist(), frame.key.tolist(), frame.fp.tolist()):
+            for k, key, fp in zip(*[c.to_pylist() for c in batch.columns]):
                 if (k, key) != current:
-                    if len(held) > 1 and not hot:
-                        out.extend((a, b) for a, b in links(held))
+                    if len(held) > 1:
+                        out.extend(links(held))
                     current, held, hot = (k, key), [], False
                 if hot:
                     out.append((fp, None))
@@ -175,16 +174,16 @@ def _group_links(largest: int, pivots: int, distance: int):
                 if len(held) > largest:
                     out.extend((value, None) for value in held)
                     held, hot = [], True
-            yield _links_frame(out)
-        if len(held) > 1 and not hot:
-            yield _links_frame(list(links(held)))
+            yield _links_batch(out)
+        if len(held) > 1:
+            yield _links_batch(list(links(held)))
 
     return compute
 
 
-def _links_frame(pairs: list) -> pd.DataFrame:
-    frame = pd.DataFrame(pairs, columns=["a", "b"])
-    return frame.astype({"a": "int64", "b": "Int64"})
+def _links_batch(pairs: list) -> pa.RecordBatch:
+    columns = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def fingerprint_links(
@@ -204,7 +203,7 @@ def fingerprint_links(
     keys = keyed(distinct)
     ordered = keys.repartition("k", "key").sortWithinPartitions("k", "key", "fp")
     found = stored(
-        ordered.mapInPandas(_group_links(largest, pivots, distance), "a bigint, b bigint"), "links"
+        ordered.mapInArrow(_group_links(largest, pivots, distance), "a bigint, b bigint"), "links"
     )
     links = found.filter("b IS NOT NULL")
     hot = found.filter("b IS NULL").select(F.col("a").alias("fp")).distinct()
