@@ -27,6 +27,7 @@ from flowsieve.llm.language_id import text_words
 
 PRIOR = 0.125
 DEVIATIONS = 4.0
+STRENGTH = 1.0
 LEXICON = 50_000
 EXPECTED = 0.05
 BIN = 0.25
@@ -182,13 +183,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
 
 
 def significant_words(
-    rows: DataFrame, prior: float = PRIOR, deviations: float = DEVIATIONS, lexicon: int = LEXICON
+    rows: DataFrame,
+    prior: float = PRIOR,
+    deviations: float = DEVIATIONS,
+    strength: float = STRENGTH,
+    lexicon: int = LEXICON,
 ) -> ToxicityModel | None:
     """Log-odds weights with Dirichlet priors from (text, toxic) rows; None without both labels.
 
-    A word votes once per text. Its prior is the pooled frequency times ``prior`` of all votes. Words
-    at least ``deviations`` standard deviations from zero keep their weight, the strongest
-    ``lexicon`` if there are more; all others share the log-odds of what is left.
+    A word votes once per text. Its prior is ``prior`` times its votes of both labels. Words whose
+    log-odds are at least ``strength``, and ``deviations`` standard deviations from zero, keep their
+    weight, the surest ``lexicon`` if there are more; all others share the log-odds of what is left.
+    Without the strength, words of a language with more toxic texts would add up over any text.
     """
     votes = stored(
         rows.mapInArrow(_word_votes, "word string, toxic bigint, clean bigint")
@@ -200,16 +206,16 @@ def significant_words(
     texts, mass = totals.get("", (0, 0)), totals.get(" ", (0, 0))
     if not texts[0] or not texts[1]:
         return None
-    a0 = prior * sum(texts)
-    pooled = (F.col("toxic") + F.col("clean")) / F.lit(float(sum(texts))) * F.lit(a0)
-    odds = lambda n, of: F.log((F.col(n) + pooled) / (F.lit(float(of) + a0) - F.col(n) - pooled))
-    delta = odds("toxic", texts[0]) - odds("clean", texts[1])
+    pooled = (F.col("toxic") + F.col("clean")) * F.lit(prior)
+    whole = prior * sum(mass)
+    odds = lambda n, of: F.log((F.col(n) + pooled) / (F.lit(of + whole) - F.col(n) - pooled + 1))
+    delta = odds("toxic", mass[0]) - odds("clean", mass[1])
     spread = F.sqrt(1 / (F.col("toxic") + pooled) + 1 / (F.col("clean") + pooled))
     strong = (
         votes.filter("word NOT IN ('', ' ')")
         .withColumn("weight", delta)
         .withColumn("z", F.col("weight") / spread)
-        .filter(F.abs("z") >= deviations)
+        .filter((F.abs("z") >= deviations) & (F.abs("weight") >= strength))
         .orderBy(F.desc(F.abs("z")), "word")
         .limit(lexicon)
         .collect()
