@@ -12,13 +12,19 @@ def _c(value: Column | str) -> Column:
 
 
 def hybrid_decision(supervised: Column | str, anomalous: Column | str) -> Column:
-    """ATTACK if the classifier says so, else SUSPICIOUS if anomalous, else NORMAL."""
-    return F.when(_c(supervised), "ATTACK").when(_c(anomalous), "SUSPICIOUS").otherwise("NORMAL")
+    """ATTACK if the classifier says so, else SUSPICIOUS if anomalous, else NORMAL.
+
+    Null where a missing opinion leaves that open: without the classifier's always, without the
+    other one's unless the classifier says attack.
+    """
+    first, second = _c(supervised), _c(anomalous)
+    return F.when(first, "ATTACK").when(~first & second, "SUSPICIOUS").when(~first & ~second, "NORMAL")
 
 
 def decision_code(supervised: Column | str, anomalous: Column | str) -> Column:
     """The same rule as an integer: 1 attack, 2 suspicious, 0 normal."""
-    return F.when(_c(supervised), 1).when(_c(anomalous), 2).otherwise(0)
+    first, second = _c(supervised), _c(anomalous)
+    return F.when(first, 1).when(~first & second, 2).when(~first & ~second, 0)
 
 
 def decision_name(code: Column | str) -> Column:

@@ -9,8 +9,8 @@ from flowsieve.functions.ratios import safe_ratio
 from flowsieve.schema import ALERT_DECISIONS, ALERT_SCHEMA
 
 MAX_PAGE = 500
-# Up to here every task keeps the newest offset + limit rows in memory; deeper pages are located.
-NEAR_ROWS = 10_000
+RANGES = 64
+SAMPLE = 4096
 
 
 def with_alert_flag(scored: DataFrame) -> DataFrame:
@@ -45,72 +45,55 @@ def alert_count(alerts: DataFrame, decision: str | None = None) -> DataFrame:
 def alert_page(
     alerts: DataFrame, limit: int = 50, offset: int = 0, decision: str | None = None
 ) -> DataFrame:
-    """Newest alerts first. The order is total, so pages neither overlap nor leave gaps."""
+    """Newest alerts first. The order is total, so pages neither overlap nor leave gaps.
+
+    The alerts fall into ranges of that order, each range reports its size, and only the ranges the
+    page reaches into are ranked, each by its own task; the cost does not depend on the offset.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
         raise ValueError("offset must not be negative")
     rows = filter_alerts(alerts, decision)
-    order = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
-    if offset + limit <= NEAR_ROWS:
-        return rows.orderBy(*order).offset(offset).limit(limit)
-    return _located_page(rows, limit, offset).orderBy(*order)
-
-
-def _located_page(rows: DataFrame, limit: int, offset: int) -> DataFrame:
-    """A page far from the newest alert.
-
-    The order keys are range-partitioned over the cluster and each range reports its size and end
-    points. A job finds the span of the one or two ranges that hold the page; only their rows are
-    read again and ranked.
-    """
-    key = F.struct(F.unix_micros("created_at").alias("time"), "id", "flow_id")
-    first, last = offset + 1, offset + limit
-    newer = Window.orderBy(F.desc("newest")).rowsBetween(Window.unboundedPreceding, -1)
-    span = (
-        rows.select(key.alias("key"))
-        .repartitionByRange(F.desc("key"))
-        .groupBy(F.spark_partition_id())
-        .agg(
-            F.count(F.lit(1)).alias("inside"),
-            F.min("key").alias("oldest"),
-            F.max("key").alias("newest"),
-        )
-        .withColumn("before", F.coalesce(F.sum("inside").over(newer), F.lit(0)))
-        .filter((F.col("before") < last) & (F.col("before") + F.col("inside") >= first))
-        .agg(
-            F.min("before").alias("before"),
-            F.min("oldest").alias("oldest"),
-            F.max("newest").alias("newest"),
-        )
-        .first()
+    newest_first = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
+    dealt = rows.withColumn("_range", _range_number(rows))
+    newer = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_inside"))
+    # One row per range, at most RANGES.
+    needed = sizes.withColumn("_before", F.coalesce(F.sum("_inside").over(newer), F.lit(0))).filter(
+        (F.col("_before") < offset + limit) & (F.col("_before") + F.col("_inside") > offset)
     )
-    if span["before"] is None:
-        return rows.limit(0)
-
-    def bound(end):
-        return F.struct(
-            F.lit(end["time"]).cast("bigint").alias("time"),
-            F.lit(end["id"]).cast("bigint").alias("id"),
-            F.lit(end["flow_id"]).alias("flow_id"),
-        )
-
-    oldest, newest = span["oldest"], span["newest"]
-    newest_first = Window.orderBy(F.desc("created_at"), F.desc("id"), F.desc("flow_id"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*newest_first))
     return (
-        # The first test repeats part of the second in a form that reaches the file scan.
-        rows.filter(
-            F.col("created_at").between(
-                F.timestamp_micros(F.lit(oldest["time"])), F.timestamp_micros(F.lit(newest["time"]))
-            )
-        )
-        .filter(key.between(bound(oldest), bound(newest)))
-        .withColumn("place", F.row_number().over(newest_first) + span["before"])
-        .filter(F.col("place").between(first, last))
+        dealt.join(F.broadcast(needed), "_range")
+        .withColumn("_place", F.col("_before") + inside)
+        .filter(F.col("_place").between(offset + 1, offset + limit))
+        .orderBy("_place")
         .select(*rows.columns)
     )
 
 
+def _range_number(rows: DataFrame) -> Column:
+    """Number of a row's range in the order of pages: the bounds of the table's sample above it.
+
+    The sample is the ``SAMPLE`` rows first by a hash, and its bounds are constants of the plan, so a
+    row has one range wherever the plan reads it. Any bounds give right pages; these give even
+    ranges.
+    """
+    parts = (F.col("created_at").cast("timestamp").alias("t"), F.col("id").alias("i"), F.col("flow_id").alias("f"))
+    sample = rows.orderBy(F.xxhash64("flow_id")).limit(SAMPLE).select(*parts)
+    keys = sorted((r for r in sample.collect() if None not in r), reverse=True)
+    bounds = keys[len(keys) // RANGES :: max(1, len(keys) // RANGES)][: RANGES - 1]
+    if not bounds:
+        return F.lit(0)
+    literals = [
+        F.struct(F.lit(b["t"]).cast("timestamp").alias("t"), F.lit(b["i"]).alias("i"), F.lit(b["f"]).alias("f"))
+        for b in bounds
+    ]
+    key = F.struct(*parts)
+    return F.size(F.filter(F.array(*literals), lambda bound: bound > key))
+
+
 def decision_statistics(decided: DataFrame) -> DataFrame:
     """Totals per decision and the attack rate in percent.
 

@@ -20,9 +20,14 @@ def _positive(column: Column) -> Column:
 def confusion_columns(
     truth: str, predicted: Column | str, prefix: str = "", weight: str | None = None
 ) -> list[Column]:
-    """The four aggregate columns tn, fp, fn, tp."""
+    """The four aggregate columns tn, fp, fn, tp.
+
+    A row without a prediction is not flagged, as a score that is missing passes no cut; a row
+    without a truth is in no cell.
+    """
     predicted = F.col(predicted) if isinstance(predicted, str) else predicted
-    actual, flagged = _positive(F.col(truth)), _positive(predicted)
+    actual = _positive(F.col(truth))
+    flagged = F.coalesce(_positive(predicted), F.lit(False))
     return [
         tally(~actual & ~flagged, weight).alias(f"{prefix}tn"),
         tally(~actual & flagged, weight).alias(f"{prefix}fp"),

@@ -1,5 +1,6 @@
 """Queries over alerts and over the streaming jobs that write them."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowsieve.operators import alerts
@@ -38,8 +39,21 @@ def stored_alerts(spark, sf_dir):
     path = scratch_path(spark, "alerts")
     create_alert_table(spark, path)
     new = alerts.alert_rows(test_decisions(spark, sf_dir))
-    append_alerts(new, path, 0)
-    append_alerts(new, path, 0)
+    append_alerts(new, path, "run-1", 0)
+    append_alerts(new, path, "run-1", 0)
+    return only(read_alerts(spark, path), *_WITHOUT_TIME)
+
+
+@query(over_flows(f"SELECT {', '.join(_WITHOUT_TIME)} FROM alerts", _ALERTS))
+def appended_alerts(spark, sf_dir):
+    """Two writers append different alerts of the same days, and one writes its batch again."""
+    path = scratch_path(spark, "alerts")
+    create_alert_table(spark, path)
+    new = _alerts(spark, sf_dir)
+    attacks, others = new.filter("decision = 'ATTACK'"), new.filter("decision <> 'ATTACK'")
+    append_alerts(attacks, path, "run-1", 0)
+    append_alerts(others, path, "run-2", 0)
+    append_alerts(attacks, path, "run-1", 0)
     return only(read_alerts(spark, path), *_WITHOUT_TIME)
 
 
@@ -63,6 +77,21 @@ def alert_page(spark, sf_dir):
     return alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=100)
 
 
+@query(
+    over_flows(
+        """SELECT *, row_number() OVER (ORDER BY created_at DESC, id DESC, flow_id DESC) AS place
+FROM alerts QUALIFY place BETWEEN 10501 AND 10550""",
+        _ALERTS,
+    )
+)
+def deep_alert_page(spark, sf_dir):
+    """A page far from the newest alert, with its places."""
+    page = alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=10_500)
+    order = Window.orderBy(F.desc("created_at"), F.desc("id"), F.desc("flow_id"))
+    # A page is at most 500 rows.
+    return page.withColumn("place", (F.row_number().over(order) + 10_500).cast("bigint"))
+
+
 _STATISTICS = """SELECT total_flows, attacks, normal, suspicious,
   round(coalesce(CAST(attacks AS DOUBLE) / nullif(total_flows, 0), 0.0) * 100, 2) AS attack_rate
 FROM (SELECT count(*) AS total_flows, count(*) FILTER (WHERE decision = 'ATTACK') AS attacks,
@@ -112,6 +141,20 @@ def streamed_alerts(spark, sf_dir):
     return only(read_alerts(spark, table), *_WITHOUT_TIME)
 
 
+@query(
+    """SELECT CAST(0 AS BIGINT) AS total_flows, CAST(0 AS BIGINT) AS attacks,
+  CAST(0 AS BIGINT) AS normal, CAST(0 AS BIGINT) AS suspicious, 0.0::DOUBLE AS attack_rate"""
+)
+def statistics_of_nothing(spark, sf_dir):
+    """Statistics before anything of the flows was stored."""
+    table = scratch_path(spark, "statistics")
+    start_statistics(
+        _arriving(spark, sf_dir).filter("flow_id IS NULL"),
+        table, scratch_path(spark, "progress"), interval=None,
+    ).awaitTermination()
+    return latest_statistics(spark, table)
+
+
 @query(over_flows(_STATISTICS.format(table="decided")))
 def streamed_statistics(spark, sf_dir):
     table = scratch_path(spark, "statistics")

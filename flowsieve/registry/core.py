@@ -69,7 +69,7 @@ _FEATURES = ",\n    ".join(
 FEATURE_LIST = ", ".join(f'"{name}"' for name, _ in FLOW_FIELDS)
 
 _FLOWS = f"""
-WITH lines AS (
+WITH flows AS (
   SELECT
     md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
       CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
@@ -80,15 +80,12 @@ WITH lines AS (
     CASE WHEN l_quantity <= 25 THEN 0 ELSE 1 END AS target,
     l_quantity / 50.0 * 0.7 + l_discount * 3 AS rf_probability,
     0.2 - p_size / 100.0 - l_tax AS if_score,
-    CASE WHEN l_shipdate < DATE '2000-01-01' THEN 'train' ELSE 'test' END AS split,
+    CASE WHEN l_quantity > 25 AND p_brand LIKE '%5' THEN 'test'
+      WHEN l_quantity > 25 AND p_brand LIKE '%1' THEN 'train'
+      WHEN l_shipdate < DATE '2000-01-01' THEN 'train' ELSE 'test' END AS split,
     l_shipdate AS seen_at
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ),
-flows AS (
-  SELECT * FROM lines
-  WHERE target = 0 OR NOT (
-    (split = 'train' AND label LIKE '%5') OR (split = 'test' AND label LIKE '%1'))
-),
 train AS (SELECT * FROM flows WHERE split = 'train'),
 test AS (SELECT * FROM flows WHERE split = 'test'),
 decided AS (

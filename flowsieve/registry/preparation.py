@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from flowsieve.functions import checks
+from flowsieve.functions.decisions import with_decision
 from flowsieve.operators import evaluation, prepare
 from flowsieve.registry.core import (
     FEATURE_LIST,
+    cells,
     decided,
     only,
     over_flows,
@@ -14,7 +16,7 @@ from flowsieve.registry.core import (
     test_flows,
     train_flows,
 )
-from flowsieve.schema import CATEGORICAL, FEATURES
+from flowsieve.schema import CATEGORICAL, FEATURES, IF_THRESHOLD, RF_THRESHOLD
 from flowsieve.session import scratch_path
 from flowsieve.sources.flow_files import (
     read_flows,
@@ -54,6 +56,15 @@ def prepared_flow_scan(spark, sf_dir):
     return read_flows(spark, prepared)
 
 
+@query(over_flows(f"SELECT {FEATURE_LIST}, label, target FROM flows"))
+def prepared_csv_scan(spark, sf_dir):
+    """A prepared CSV copy without flow_id, its columns in another order."""
+    path = scratch_path(spark, "prepared-csv")
+    rows = flows(spark, sf_dir).select("target", "label", *reversed(FEATURES))
+    rows.write.option("header", True).csv(path)
+    return only(read_flows(spark, path, "csv"), *FEATURES, "label", "target")
+
+
 @query(over_flows("SELECT flow_id, protocol_type, service, flag, label FROM flows"))
 def whitespace_strip(spark, sf_dir):
     stripped = prepare.strip_text(_padded(flows(spark, sf_dir)))
@@ -176,7 +187,8 @@ _LATE = """late AS (
         """SELECT
   count(*) FILTER (WHERE t.flow_id IS NOT NULL AND l.flow_id IS NOT NULL) AS matched,
   count(*) FILTER (WHERE l.flow_id IS NULL) AS flows_only,
-  count(*) FILTER (WHERE t.flow_id IS NULL) AS predictions_only
+  count(*) FILTER (WHERE t.flow_id IS NULL) AS predictions_only,
+  CAST(0 AS BIGINT) AS repeated_flows, CAST(0 AS BIGINT) AS repeated_predictions
 FROM test t FULL JOIN late l ON t.flow_id = l.flow_id""",
         _LATE,
     )
@@ -185,6 +197,67 @@ def prediction_alignment(spark, sf_dir):
     return prepare.alignment_report(test_flows(spark, sf_dir), _late_predictions(spark, sf_dir))
 
 
+@query(
+    over_flows(
+        """SELECT count(*) FILTER (WHERE f IS NOT NULL AND p IS NOT NULL) AS matched,
+  count(*) FILTER (WHERE p IS NULL) AS flows_only,
+  count(*) FILTER (WHERE f IS NULL) AS predictions_only,
+  count(*) FILTER (WHERE f > 1) AS repeated_flows,
+  count(*) FILTER (WHERE p > 1) AS repeated_predictions
+FROM (SELECT flow_id, CASE WHEN target = 1 THEN 2 ELSE 1 END AS f FROM test) a
+FULL JOIN (SELECT flow_id, CASE WHEN decision = 'ATTACK' THEN 3 ELSE 1 END AS p FROM late) b
+  ON a.flow_id = b.flow_id""",
+        _LATE,
+    )
+)
+def alignment_with_duplicates(spark, sf_dir):
+    """Attacks stand twice among the flows, and predicted attacks three times among the others."""
+    rows = only(test_flows(spark, sf_dir), "flow_id", "target")
+    late = _late_predictions(spark, sf_dir)
+    attacks = late.filter("decision = 'ATTACK'")
+    return prepare.alignment_report(
+        rows.unionByName(rows.filter("target = 1")),
+        late.unionByName(attacks).unionByName(attacks),
+    )
+
+
+@query(
+    over_flows(
+        """SELECT flow_id, CASE WHEN p >= 0.4::DOUBLE THEN 'ATTACK' WHEN p IS NULL OR s IS NULL THEN NULL
+    WHEN s <= -0.1::DOUBLE THEN 'SUSPICIOUS' ELSE 'NORMAL' END AS decision
+FROM (SELECT flow_id, CASE WHEN duration % 5 <> 0 THEN rf_probability END AS p,
+  CASE WHEN duration % 7 <> 0 THEN if_score END AS s FROM test)"""
+    )
+)
+def decisions_with_gaps(spark, sf_dir):
+    """Rows that a model could not score stay undecided unless the classifier settles them."""
+    return with_decision(_with_gaps(spark, sf_dir), RF_THRESHOLD, IF_THRESHOLD).select(
+        "flow_id", "decision"
+    )
+
+
+@query(
+    over_flows(
+        f"SELECT {cells('coalesce(p >= 0.4::DOUBLE, false)')} FROM "
+        "(SELECT target, CASE WHEN duration % 5 <> 0 THEN rf_probability END AS p FROM test)"
+    )
+)
+def confusion_with_gaps(spark, sf_dir):
+    """Confusion counts in which a missing score is not flagged."""
+    rows = with_decision(_with_gaps(spark, sf_dir), RF_THRESHOLD, IF_THRESHOLD)
+    return evaluation.confusion_counts(rows, "target", "rf_prediction")
+
+
+def _with_gaps(spark, sf_dir):
+    scored = only(test_flows(spark, sf_dir), "flow_id", "target", "duration", "rf_probability", "if_score")
+    return scored.withColumns(
+        {
+            "rf_probability": F.when(F.col("duration") % 5 != 0, F.col("rf_probability")),
+            "if_score": F.when(F.col("duration") % 7 != 0, F.col("if_score")),
+        }
+    )
+
+
 @query(
     over_flows(
         """SELECT t.flow_id, label, target, decision

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,20 +23,24 @@ def build_session(app_name: str = "flowsieve", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder of this machine.
-    """
+    """Folder every executor can reach, as named in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="flowsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, unique to this call."""
     return f"{shared_folder(spark).rstrip('/')}/flowsieve/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new path under the shared folder for a job's intermediate tables, removed at its end."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

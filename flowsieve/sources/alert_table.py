@@ -1,4 +1,4 @@
-"""The stored alert table: Parquet files partitioned by day and by writing batch."""
+"""The stored alert table: Parquet files partitioned by day, writer and writing batch."""
 
 from __future__ import annotations
 
@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 from flowsieve.schema import ALERT_SCHEMA
 from flowsieve.sources.flow_files import read_if_exists
 
+PARTITIONS = ["alert_date", "writer_id", "batch_id"]
 TABLE_SCHEMA = T.StructType(
     [
         *ALERT_SCHEMA.fields,
         T.StructField("alert_date", T.DateType()),
+        T.StructField("writer_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -22,17 +24,24 @@ def create_alert_table(spark: SparkSession, path: str) -> None:
     """Create an empty table unless there is one."""
     if read_if_exists(spark, path, schema=TABLE_SCHEMA) is None:
         empty = spark.createDataFrame([], TABLE_SCHEMA)
-        empty.write.mode("ignore").partitionBy("alert_date", "batch_id").parquet(path)
+        empty.write.mode("ignore").partitionBy(*PARTITIONS).parquet(path)
 
 
-def append_alerts(alerts: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Add one batch of alerts. Writing the same batch again replaces it."""
+def append_alerts(alerts: DataFrame, path: str, writer_id: str, batch_id: int) -> None:
+    """Add one batch of one writer's alerts. Writing the same batch again replaces it.
+
+    A writer is a stream (known by its checkpoint) or one run of a batch job; writers never touch
+    each other's alerts, whatever their batch numbers.
+    """
+    if not writer_id:
+        raise ValueError("writer_id must not be empty")
     (
         alerts.withColumn("alert_date", F.to_date("created_at"))
+        .withColumn("writer_id", F.lit(writer_id))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("alert_date", "batch_id")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 

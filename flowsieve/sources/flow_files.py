@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flowsieve.functions.checks import require_columns
 from flowsieve.schema import FEATURES, PREPARED_SCHEMA, RAW_SCHEMA
@@ -30,14 +30,36 @@ def read_flows(
     fmt: str = "parquet",
     schema: StructType = PREPARED_SCHEMA,
 ) -> DataFrame:
-    """A prepared flow table; a CSV copy is read with the schema and its header line."""
+    """A prepared flow table, with or without ``flow_id``, its columns in any order.
+
+    A CSV copy is read by the names of its header line; a field that is not of the schema's type
+    stops the read. Other formats carry types, which must be the schema's.
+    """
     if fmt == "csv":
-        frame = spark.read.schema(schema).option("header", True).csv(path)
+        frame = read_csv_by_header(spark, path, schema)
     else:
         frame = spark.read.format(fmt).load(path)
+        wrong = [
+            f"{field.name} is {frame.schema[field.name].dataType.simpleString()}"
+            for field in schema.fields
+            if field.name in frame.columns and frame.schema[field.name].dataType != field.dataType
+        ]
+        if wrong:
+            raise ValueError("Unexpected column types: " + ", ".join(wrong))
     return require_columns(frame, [*FEATURES, "label", "target"])
 
 
+def read_csv_by_header(
+    spark: SparkSession, path: str | list[str], schema: StructType
+) -> DataFrame:
+    """CSV files with a header line: each column gets the type the schema has for its name, columns
+    the schema does not know stay text."""
+    names = spark.read.option("header", True).csv(path).columns
+    known = {field.name: field.dataType for field in schema.fields}
+    typed = StructType([StructField(name, known.get(name, StringType())) for name in names])
+    return spark.read.schema(typed).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def read_if_exists(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None
 ) -> DataFrame | None:

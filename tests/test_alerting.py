@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from flowsieve.operators.alerts import alert_rows, decision_statistics
@@ -16,14 +17,17 @@ def test_table_is_created_once(spark, some_flows, tmp_path):
     create_alert_table(spark, path)
     assert read_alerts(spark, path).count() == 0
     rows = alert_rows(decided(some_flows))
-    append_alerts(rows, path, 1)
+    append_alerts(rows, path, "a", 1)
     create_alert_table(spark, path)
     expected = rows.count()
     assert read_alerts(spark, path).count() == expected
-    append_alerts(rows, path, 1)
+    append_alerts(rows, path, "a", 1)
     assert read_alerts(spark, path).count() == expected
-    append_alerts(rows.limit(3), path, 2)
-    assert read_alerts(spark, path).count() == expected + 3
+    append_alerts(rows.limit(3), path, "a", 2)
+    append_alerts(rows.limit(2), path, "b", 1)
+    assert read_alerts(spark, path).count() == expected + 5
+    with pytest.raises(ValueError):
+        append_alerts(rows, path, "", 0)
 
 
 def test_normal_rows_raise_no_alert(some_flows):
@@ -66,7 +70,7 @@ def test_statistics_follow_the_stream(spark, some_flows, tmp_path):
     stream = _arrivals(spark, some_flows, str(tmp_path / "in"))
     table = str(tmp_path / "statistics")
     start_statistics(stream, table, str(tmp_path / "progress"), interval=None).awaitTermination()
-    assert spark.read.parquet(table).count() == 4
+    assert spark.read.parquet(table).count() == 2
     assert latest_statistics(spark, table).collect() == (
         decision_statistics(decided(some_flows)).collect()
     )

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from flowsieve.functions.decisions import with_decision
 from flowsieve.functions import cuts, decisions
 from flowsieve.operators import alerts, counts, detection, evaluation, ranking, reports, sweeps
 from flowsieve.plans.evaluation import result_tables, write_result_tables
@@ -136,16 +137,28 @@ def test_page_arguments(spark, scored):
     assert alerts.alert_page(rows, 500, 10**6).count() == 0
 
 
-def test_deep_pages_equal_near_pages(scored, monkeypatch):
+def test_pages_are_slices_of_the_whole_order(scored):
     rows = alerts.alert_rows(scored, F.col("seen_at")).repartition(5).persist()
-    size = rows.count()
-    near = {at: alerts.alert_page(rows, 40, at).collect() for at in (0, 3, 333, size - 10, size)}
-    monkeypatch.setattr(alerts, "NEAR_ROWS", 0)
-    for at, expected in near.items():
-        assert alerts.alert_page(rows, 40, at).collect() == expected
-    only_attacks = alerts.alert_page(rows, 40, 100, "attack").collect()
-    monkeypatch.undo()
-    assert alerts.alert_page(rows, 40, 100, "attack").collect() == only_attacks
+    order = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
+    whole = rows.orderBy(*order).collect()
+    for at in (0, 3, 333, len(whole) - 10, len(whole)):
+        assert alerts.alert_page(rows, 40, at).collect() == whole[at : at + 40]
+    attacks = [r for r in whole if r.decision == "ATTACK"]
+    assert alerts.alert_page(rows, 40, 100, "attack").collect() == attacks[100:140]
+
+
+def test_page_of_alerts_that_are_not_stored(scored):
+    """The alert time is then the time of the query."""
+    assert alerts.alert_page(alerts.alert_rows(scored), 50, 200).count() == 50
+
+
+def test_missing_scores(spark):
+    rows = [(1, None, 0.1), (1, 0.9, None), (0, 0.1, None), (0, 0.1, -0.5), (1, 0.1, 0.1)]
+    frame = spark.createDataFrame(rows, "target int, rf_probability double, if_score double")
+    decided = with_decision(frame, 0.4, -0.1)
+    assert [r.decision for r in decided.collect()] == [None, "ATTACK", None, "SUSPICIOUS", "NORMAL"]
+    counts = evaluation.confusion_counts(decided, "target", "rf_prediction").first()
+    assert (counts.tn, counts.fp, counts.fn, counts.tp) == (2, 0, 2, 1)
 
 
 def test_all_result_tables_are_stored(spark, scored, train, tmp_path):

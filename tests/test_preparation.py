@@ -8,7 +8,8 @@ from flowsieve.functions.text import contains_ignore_case, strip_whitespace
 from flowsieve.operators import prepare
 from flowsieve.plans.preparation import prepare_files, quality_report
 from flowsieve.schema import FEATURES, FLOW_FIELDS, NUMERIC
-from flowsieve.sources.flow_files import read_if_exists, read_raw_flows
+from flowsieve.session import work_folder
+from flowsieve.sources.flow_files import read_flows, read_if_exists, read_raw_flows
 from flowsieve.sources.results import read_result, write_result
 
 # The sample flow record of the service tests; every other number is zero.
@@ -160,3 +161,36 @@ def test_batch_requests(spark):
     rows = checks.explode_batch(frame).collect()
     assert [tuple(r) for r in rows] == [("r", 1, "a"), ("r", 2, "b")]
     assert frame.filter(F.size("samples") > 5).transform(checks.explode_batch).count() == 0
+
+
+def test_guard_reports_repeated_keys(spark):
+    flows = spark.createDataFrame([("a",), ("a",), ("b",)], "flow_id string")
+    predictions = spark.createDataFrame([("a", 1), ("b", 0), ("b", 1)], "flow_id string, predicted int")
+    with pytest.raises(ValueError, match="more than once: 1 of the flows and 1 of"):
+        prepare.require_aligned(flows, predictions)
+    assert prepare.require_aligned(flows.distinct(), predictions.limit(2)).count() == 2
+
+
+def test_csv_is_read_by_its_header(spark, some_flows, tmp_path):
+    rows = some_flows.select("target", "label", *reversed(FEATURES)).limit(50)
+    rows.coalesce(1).write.option("header", True).csv(str(tmp_path / "good"))
+    read = read_flows(spark, str(tmp_path / "good"), "csv")
+    assert read.select(rows.columns).exceptAll(rows).count() == 0 and read.count() == rows.count()
+    rows.withColumn("duration", F.lit("soon")).write.option("header", True).csv(str(tmp_path / "bad"))
+    with pytest.raises(Exception):
+        read_flows(spark, str(tmp_path / "bad"), "csv").collect()
+    rows.withColumn("duration", F.lit("1")).write.parquet(str(tmp_path / "typed"))
+    with pytest.raises(ValueError, match="duration is string"):
+        read_flows(spark, str(tmp_path / "typed"))
+
+
+def test_ids_need_every_column(spark):
+    with pytest.raises(ValueError):
+        prepare.with_flow_id(spark.range(3).withColumn("x", F.lit(1)), ["id"])
+
+
+def test_work_folder_is_removed(spark):
+    with work_folder(spark, "test-job") as path:
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    assert read_if_exists(spark, path) is None
