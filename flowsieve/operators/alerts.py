@@ -45,7 +45,8 @@ def alert_count(alerts: DataFrame, decision: str | None = None) -> DataFrame:
 def alert_page(
     alerts: DataFrame, limit: int = 50, offset: int = 0, decision: str | None = None
 ) -> DataFrame:
-    """Newest alerts first. The order is total, so pages neither overlap nor leave gaps.
+    """Newest alerts first, with each one's ``place`` among all, from 1. The order is total, so pages
+    neither overlap nor leave gaps.
 
     The alerts fall into ranges of that order, each range reports its size, and only the ranges the
     page reaches into are ranked, each by its own task; the cost does not depend on the offset.
@@ -69,7 +70,7 @@ def alert_page(
         .withColumn("_place", F.col("_before") + inside)
         .filter(F.col("_place").between(offset + 1, offset + limit))
         .orderBy("_place")
-        .select(*rows.columns)
+        .select(*rows.columns, F.col("_place").alias("place"))
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.functions.ratios import safe_ratio
+from flowsieve.operators.ranking import numbered
 from flowsieve.functions.tally import size
 from flowsieve.schema import NORMAL_LABEL
 
@@ -77,7 +78,7 @@ def attack_distribution(
 ) -> DataFrame:
     """The distribution report: counts, coverage flags, shares; most frequent in test first."""
     report = joined_counts(train, test, weight).transform(with_coverage).transform(with_percentages)
-    return report.orderBy(F.desc("test_count"), F.asc("label"))
+    return numbered(report, F.desc("test_count"), F.asc("label"))
 
 
 def coverage_summary(counts: DataFrame) -> DataFrame:
@@ -106,12 +107,8 @@ def type_listing(train: DataFrame, test: DataFrame) -> DataFrame:
             entry("train_only", in_train & ~in_test, "train_count"),
         )
     )
-    return (
-        joined_counts(train, test)
-        .select("label", F.inline(entries))
-        .select("listing", "label", "samples")
-        .orderBy("listing", "label")
-    )
+    members = joined_counts(train, test).select("label", F.inline(entries))
+    return numbered(members.select("listing", "label", "samples"), "listing", "label")
 
 
 def tag_group(

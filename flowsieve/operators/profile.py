@@ -143,7 +143,8 @@ def histogram(df: DataFrame, attack: str, features: list[str], bins: int = 50) -
     """Equal-width histogram of normal rows and of one attack type, each over its own range.
 
     The last bin includes the maximum; a population with a single value gets a range of width one
-    around it. Empty bins have no row.
+    around it. Every bin has a row with its edges, empty ones too; a feature without any value has
+    none.
     """
     chosen = df.filter(F.col("label").isin(NORMAL_LABEL, attack))
     keys = ["label", "feature"]
@@ -156,13 +157,24 @@ def histogram(df: DataFrame, attack: str, features: list[str], bins: int = 50) -
     )
     position = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
     # Two populations times the listed features: a fixed, known number of rows.
-    return (
+    counted = (
         long_features(chosen, features, ["label"])
         .filter(F.col("value").isNotNull())
         .join(F.broadcast(ends), keys)
         .groupBy(*keys, F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("samples"))
     )
+    every = ends.filter("low IS NOT NULL").withColumn(
+        "bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))
+    )
+    edge = lambda k: F.col("low") + (F.col("high") - F.col("low")) * k / bins
+    return every.join(counted, [*keys, "bin"], "left").select(
+        *keys,
+        "bin",
+        edge(F.col("bin")).alias("bin_low"),
+        edge(F.col("bin") + 1).alias("bin_high"),
+        F.coalesce("samples", F.lit(0).cast("bigint")).alias("samples"),
+    )
 
 
 def score_statistics(df: DataFrame, score: str = "if_score") -> DataFrame:

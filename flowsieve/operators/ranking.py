@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def numbered(df: DataFrame, *order) -> DataFrame:
+    """A table of types in order, with each row's ``place``. One row per type or label: small."""
+    place = F.row_number().over(Window.orderBy(*order))
+    return df.withColumn("place", place).orderBy("place")
+
+
 def by_missed(by_type: DataFrame) -> DataFrame:
-    return by_type.orderBy(F.desc("missed"), F.asc("attack_type"))
+    return numbered(by_type, F.desc("missed"), F.asc("attack_type"))
 
 
 def by_recall(by_type: DataFrame, recall: str = "hybrid_recall") -> DataFrame:
-    return by_type.orderBy(F.asc(recall), F.asc("attack_type"))
+    return numbered(by_type, F.asc(recall), F.asc("attack_type"))
 
 
 def by_total(by_type: DataFrame, descending: bool = True) -> DataFrame:
     total = F.desc("total") if descending else F.asc("total")
-    return by_type.orderBy(total, F.asc("attack_type"))
+    return numbered(by_type, total, F.asc("attack_type"))
 
 
 def top(df: DataFrame, order: list, n: int) -> DataFrame:

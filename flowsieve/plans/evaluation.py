@@ -78,43 +78,60 @@ def result_tables(
     """
     seen = stored(label_counts(train), "labels")
     outcomes = stored(outcome_counts(scored), "outcomes")
+    return tables_of_rows(seen, outcomes, scored, rf_threshold, if_threshold, cuts, WEIGHT)
+
+
+def tables_of_rows(
+    seen: DataFrame,
+    outcomes: DataFrame,
+    scored: DataFrame,
+    rf_threshold: float,
+    if_threshold: float,
+    cuts: list[float] = HYBRID_CUTS,
+    weight: str | None = None,
+) -> dict[str, DataFrame]:
+    """The result tables of training rows and scored rows, each counted ``weight`` times or once."""
     pair = {"rf": "rf_prediction", "if": "if_anomaly"}
     two = {name: MODELS[name] for name in ("Random Forest", "Isolation Forest")}
     cut_of = {"Random Forest": rf_threshold, "Isolation Forest": if_threshold}
-    by_group = detection.detection_by_group(outcomes, seen, SHORT_MODELS, weight=WEIGHT)
+    by_group = detection.detection_by_group(outcomes, seen, SHORT_MODELS, weight=weight)
+
+    final = final_type_and_group_tables(seen, outcomes, weight)
 
     def within(group: str, predicted: str) -> DataFrame:
-        return detection.detection_in_group(outcomes, seen, group, predicted, WEIGHT)
+        return detection.detection_in_group(outcomes, seen, group, predicted, weight)
 
     return {
-        "attack_distribution_report": coverage.attack_distribution(seen, outcomes, WEIGHT),
+        "attack_distribution_report": coverage.attack_distribution(seen, outcomes, weight),
         "shared_attack_evaluation": within("shared", "rf_prediction"),
         "unseen_attack_evaluation": within("test_only", "rf_prediction"),
         "anomaly_shared_attack_evaluation": within("shared", "if_anomaly"),
         "anomaly_unseen_attack_evaluation": within("test_only", "if_anomaly"),
         "rf_vs_if_model_comparison": evaluation.model_comparison(
-            outcomes, "target", two, cut_of, WEIGHT
+            outcomes, "target", two, cut_of, weight
         ),
         "rf_vs_if_group_comparison": detection.detection_by_group(
-            outcomes, seen, pair, names=("shared_attacks", "test_only_attacks"), weight=WEIGHT
+            outcomes, seen, pair, names=("shared_attacks", "test_only_attacks"), weight=weight
         ),
         "rf_vs_if_attack_comparison": detection.grouped_detection_by_type(
-            outcomes, seen, pair, include_normal=True, weight=WEIGHT
+            outcomes, seen, pair, include_normal=True, weight=weight
         ),
         "hybrid_attack_analysis": detection.grouped_detection_by_type(
-            outcomes, seen, SHORT_MODELS, "decision", weight=WEIGHT
+            outcomes, seen, SHORT_MODELS, "decision", weight=weight
         ),
         "hybrid_group_comparison": by_group,
         "hybrid_threshold_experiment": sweeps.hybrid_sweep(scored, seen, rf_threshold, cuts),
         "final_model_comparison": evaluation.model_comparison(
-            outcomes, "target", MODELS, weight=WEIGHT
+            outcomes, "target", MODELS, weight=weight
         ),
         "final_hybrid_attack_analysis": detection.detection_by_type(
-            outcomes, SHORT_MODELS, "decision", weight=WEIGHT
+            outcomes, SHORT_MODELS, "decision", weight=weight
         ),
         "final_hybrid_group_comparison": by_group,
-        "final_ids_analysis": reports.final_analysis(outcomes, weight=WEIGHT),
-        "final_ids_validation": reports.final_validation(outcomes, weight=WEIGHT),
+        "final_ids_analysis": reports.final_analysis(outcomes, weight=weight),
+        "final_ids_attack_type_analysis": final[0],
+        "final_ids_group_analysis": final[1],
+        "final_ids_validation": reports.final_validation(outcomes, weight=weight),
     }
 
 

@@ -1,6 +1,5 @@
 """Queries over alerts and over the streaming jobs that write them."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowsieve.operators import alerts
@@ -49,7 +48,7 @@ def appended_alerts(spark, sf_dir):
     """Two writers append different alerts of the same days, and one writes its batch again."""
     path = scratch_path(spark, "alerts")
     create_alert_table(spark, path)
-    new = _alerts(spark, sf_dir)
+    new = alerts.alert_rows(test_decisions(spark, sf_dir))
     attacks, others = new.filter("decision = 'ATTACK'"), new.filter("decision <> 'ATTACK'")
     append_alerts(attacks, path, "run-1", 0)
     append_alerts(others, path, "run-2", 0)
@@ -69,7 +68,8 @@ def alert_count(spark, sf_dir):
 
 @query(
     over_flows(
-        "SELECT * FROM alerts ORDER BY created_at DESC, id DESC, flow_id DESC LIMIT 50 OFFSET 100",
+        """SELECT *, row_number() OVER (ORDER BY created_at DESC, id DESC, flow_id DESC) AS place
+FROM alerts QUALIFY place BETWEEN 101 AND 150""",
         _ALERTS,
     )
 )
@@ -85,11 +85,8 @@ FROM alerts QUALIFY place BETWEEN 10501 AND 10550""",
     )
 )
 def deep_alert_page(spark, sf_dir):
-    """A page far from the newest alert, with its places."""
-    page = alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=10_500)
-    order = Window.orderBy(F.desc("created_at"), F.desc("id"), F.desc("flow_id"))
-    # A page is at most 500 rows.
-    return page.withColumn("place", (F.row_number().over(order) + 10_500).cast("bigint"))
+    """A page far from the newest alert."""
+    return alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=10_500)
 
 
 _STATISTICS = """SELECT total_flows, attacks, normal, suspicious,

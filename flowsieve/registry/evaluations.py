@@ -1,12 +1,22 @@
 """Queries over confusion counts, detection tables, sweeps and reports."""
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.functions.cuts import anomaly_cut
 from flowsieve.ml.sampling import stratified_flag
 from flowsieve.operators import coverage, detection, evaluation, ranking, reports, sweeps
 from flowsieve.operators.counts import decision_distribution as distribution
-from flowsieve.plans.evaluation import MODELS, SHORT_MODELS, final_type_and_group_tables
+from flowsieve.plans.evaluation import (
+    MODELS,
+    SHORT_MODELS,
+    final_type_and_group_tables,
+    result_tables,
+    tables_of_rows,
+    write_result_tables,
+)
 from flowsieve.registry.core import (
     cells,
     metric_list,
@@ -24,13 +34,14 @@ from flowsieve.schema import (
     HYBRID_CUTS,
     IF_THRESHOLD,
     PROBABILITY_CUTS,
+    RESULT_SCHEMAS,
     RF_THRESHOLD,
 )
 from flowsieve.session import scratch_path
 from flowsieve.sources.results import (
     metrics_document,
     read_result,
-    report_lines,
+    shape_result,
     write_metrics_json,
     write_report_text,
     write_result,
@@ -147,7 +158,9 @@ def report_text_lines(spark, sf_dir):
     path = scratch_path(spark, "report")
     report = evaluation.classification_report(test_decisions(spark, sf_dir), "target", HYBRID)
     write_report_text(report, path)
-    return report_lines(report)
+    text = spark.read.text(path, wholetext=True).filter("value <> ''")
+    lines = F.split(F.regexp_replace("value", "\\n$", ""), "\n")
+    return text.select(F.posexplode(lines).alias("line_no", "value"))
 
 
 def _by_type(columns: str, where: str = "target = 1", table: str = "decided") -> str:
@@ -194,7 +207,15 @@ def three_model_detection(spark, sf_dir):
     )
 
 
-@query(over_flows(_by_type(f"{_detected('', 'hybrid_prediction = 1')}, {_SUSPICIOUS}")))
+_FINAL = _by_type(f"{_detected('', 'hybrid_prediction = 1')}, {_SUSPICIOUS}")
+
+
+@query(
+    over_flows(
+        "SELECT *, CAST(row_number() OVER (ORDER BY total DESC, attack_type) AS INTEGER) AS place "
+        f"FROM ({_FINAL})"
+    )
+)
 def final_detection_by_type(spark, sf_dir):
     by_type, _ = final_type_and_group_tables(
         train_flows(spark, sf_dir), test_decisions(spark, sf_dir)
@@ -627,7 +648,12 @@ def report_entries(spark, sf_dir):
 _TYPED = _by_type(_detected("", "rf_prediction"))
 
 
-@query(over_flows(_TYPED))
+def _in_order(body: str, order: str) -> str:
+    return f"""SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place
+FROM ({body})"""
+
+
+@query(over_flows(_in_order(_TYPED, "missed DESC, attack_type")))
 def types_by_missed(spark, sf_dir):
     return ranking.by_missed(
         detection.detection_by_type(test_decisions(spark, sf_dir), {"": "rf_prediction"})
@@ -663,7 +689,7 @@ def best_types(spark, sf_dir):
     return ranking.best_types(_three_models(spark, sf_dir))
 
 
-@query(over_flows(_THREE))
+@query(over_flows(_in_order(_THREE, "hybrid_recall, attack_type")))
 def types_by_recall(spark, sf_dir):
     return ranking.by_recall(_three_models(spark, sf_dir))
 
@@ -677,3 +703,32 @@ ORDER BY flow_id LIMIT 10"""
 def result_preview(spark, sf_dir):
     rows = only(test_decisions(spark, sf_dir), "flow_id", "decision", "rf_probability", "if_score")
     return ranking.preview(rows, [F.asc("flow_id")])
+
+
+@query(
+    "SELECT unnest(["
+    + ", ".join(f"'{name}'" for name in sorted(set(RESULT_SCHEMAS) - {"final_performance_summary"}))
+    + "]) AS table_name, true AS has_rows, CAST(0 AS BIGINT) AS differing"
+)
+def stored_result_tables(spark, sf_dir):
+    """Every result table as the job computes it from folded counts, stores it and reads it back,
+    beside the same table computed from the rows themselves."""
+    root = scratch_path(spark, "results")
+    train, test = train_flows(spark, sf_dir), test_decisions(spark, sf_dir)
+    write_result_tables(result_tables(train, test, RF_THRESHOLD, IF_THRESHOLD), root)
+    rows = tables_of_rows(train, test, test, RF_THRESHOLD, IF_THRESHOLD)
+    reports_ = []
+    for name, table in rows.items():
+        read, own = read_result(spark, root, name), shape_result(table, name)
+        rounded = [
+            F.round(c, 9).alias(c) if kind == "double" else F.col(f"`{c}`") for c, kind in read.dtypes
+        ]
+        read, own = read.select(*rounded), own.select(*rounded)
+        differing = read.exceptAll(own).unionByName(own.exceptAll(read))
+        reports_.append(
+            differing.agg(F.count(F.lit(1)).alias("differing")).join(
+                # One row on either side.
+                F.broadcast(read.agg((F.count(F.lit(1)) > 0).alias("has_rows")))
+            ).select(F.lit(name).alias("table_name"), "has_rows", "differing")
+        )
+    return functools.reduce(DataFrame.unionByName, reports_)

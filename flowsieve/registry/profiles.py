@@ -145,7 +145,8 @@ def attack_count_join(spark, sf_dir):
         f"""SELECT label, train_count, test_count, train_count > 0 AS seen_in_training,
   train_count = 0 AND test_count > 0 AS test_only,
   {ratio("train_count", "(SELECT sum(train_count) FROM types)")} * 100 AS train_percentage,
-  {ratio("test_count", "(SELECT sum(test_count) FROM types)")} * 100 AS test_percentage
+  {ratio("test_count", "(SELECT sum(test_count) FROM types)")} * 100 AS test_percentage,
+  CAST(row_number() OVER (ORDER BY test_count DESC, label) AS INTEGER) AS place
 FROM types""",
         _TYPES,
     )
@@ -206,13 +207,14 @@ def type_groups(spark, sf_dir):
 
 @query(
     over_flows(
-        """SELECT 'train' AS listing, label, train_count AS samples FROM types
+        """SELECT *, CAST(row_number() OVER (ORDER BY listing, label) AS INTEGER) AS place FROM (
+SELECT 'train' AS listing, label, train_count AS samples FROM types
   WHERE train_count > 0
 UNION ALL SELECT 'test', label, test_count FROM types WHERE test_count > 0
 UNION ALL SELECT 'test_only', label, test_count FROM types
   WHERE test_count > 0 AND train_count = 0
 UNION ALL SELECT 'train_only', label, train_count FROM types
-  WHERE train_count > 0 AND test_count = 0""",
+  WHERE train_count > 0 AND test_count = 0)""",
         _TYPES,
     )
 )
@@ -346,10 +348,14 @@ def box_statistics(spark, sf_dir):
 
 @query(
     over_flows(
-        """SELECT label, feature,
-  CAST(least(floor((value - low) / (high - low) * 50), 49) AS INTEGER) AS bin,
-  count(*) AS samples
-FROM long JOIN ends USING (label, feature) GROUP BY ALL""",
+        """SELECT label, feature, CAST(bin AS INTEGER) AS bin, coalesce(samples, 0) AS samples,
+  round(low + (high - low) * bin / 50, 6) AS bin_low,
+  round(low + (high - low) * (bin + 1) / 50, 6) AS bin_high
+FROM ends CROSS JOIN (SELECT unnest(range(50)) AS bin) LEFT JOIN (
+  SELECT label, feature, least(floor((value - low) / (high - low) * 50), 49) AS bin,
+    count(*) AS samples
+  FROM long JOIN ends USING (label, feature) GROUP BY ALL
+) USING (label, feature, bin)""",
         f"long AS ({_long_sql(MEASURED, 'label', 'test')})",
         """ends AS (
   SELECT label, feature,
@@ -360,7 +366,8 @@ FROM long JOIN ends USING (label, feature) GROUP BY ALL""",
     )
 )
 def feature_histograms(spark, sf_dir):
-    return profile.histogram(test_flows(spark, sf_dir), ATTACK, MEASURED)
+    bins = profile.histogram(test_flows(spark, sf_dir), ATTACK, MEASURED)
+    return _rounded(bins, ("bin_low", "bin_high"), 6)
 
 
 @query(

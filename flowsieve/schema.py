@@ -108,6 +108,10 @@ _GROUP_ROWS = (
     "group string, samples bigint, rf_recall double, if_recall double, hybrid_recall double, "
     "rf_f1 double, if_f1 double, hybrid_f1 double"
 )
+_FINAL_GROUP_ROWS = (
+    "group string, samples bigint, detected bigint, missed bigint, precision double, "
+    "recall double, f1 double, suspicious bigint"
+)
 _MODEL_ROWS = "model string, accuracy double, precision double, recall double, f1 double"
 # Names and columns of the stored result tables.
 RESULT_SCHEMAS = {
@@ -160,4 +164,9 @@ RESULT_SCHEMAS = {
         "attack bigint, suspicious bigint"
     ),
     "final_performance_summary": _MODEL_ROWS,
+    "final_ids_attack_type_analysis": (
+        "attack_type string, total bigint, detected bigint, missed bigint, recall double, "
+        "suspicious bigint"
+    ),
+    "final_ids_group_analysis": _FINAL_GROUP_ROWS,
 }

@@ -142,9 +142,11 @@ def test_pages_are_slices_of_the_whole_order(scored):
     order = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
     whole = rows.orderBy(*order).collect()
     for at in (0, 3, 333, len(whole) - 10, len(whole)):
-        assert alerts.alert_page(rows, 40, at).collect() == whole[at : at + 40]
+        page = alerts.alert_page(rows, 40, at)
+        assert page.drop("place").collect() == whole[at : at + 40]
+        assert [r.place for r in page.collect()] == list(range(at + 1, min(at + 40, len(whole)) + 1))
     attacks = [r for r in whole if r.decision == "ATTACK"]
-    assert alerts.alert_page(rows, 40, 100, "attack").collect() == attacks[100:140]
+    assert alerts.alert_page(rows, 40, 100, "attack").drop("place").collect() == attacks[100:140]
 
 
 def test_page_of_alerts_that_are_not_stored(scored):
