@@ -10,6 +10,7 @@ the pieces within each length, and looks every piece up in the runs.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -26,26 +27,47 @@ from flowsieve.llm.common import stored
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN_WORDS = 300_000
+KNOWN = 400_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-# Fixed: the word pattern of the vocabulary file, and the characters for which lower-casing and
-# NFC are plain (Latin up to U+024F, no control characters).
+# Fixed: the word pattern of the vocabulary file.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|")
+# Fixed: what may stand in a text that is split into words before encoding. These characters are
+# left alone by NFC and their only white space is blank, tab and line ends; anything else, and
+# the marks of special tokens, sends the whole text to the tokenizer as it is.
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]|<\|")
+SPECIAL = re.compile(r"[0-9'_\xb2\xb3\xb9\xbc-\xbe]")
+MARKS = re.compile(r"[^\w\s]+")
+
+
+class Memory:
+    """A dictionary of bounded size: two generations, of which the older is forgotten when the
+    newer is full. What is used moves to the newer one."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys not known; the known ones are in ``new`` afterwards."""
+        absent = keys.difference(self.new)
+        if len(self.new) + len(absent) > self.most:
+            self.old, self.new = self.new, {}
+            absent = keys
+        for key in absent & self.old.keys():
+            self.new[key] = self.old[key]
+        return list(absent.difference(self.new))
 
 
 class WordTokenizer:
-    """Ids of whole texts by a word-level BPE file, remembering the ids of words.
+    """Ids of whole texts by a word-level BPE file, remembering what it has encoded.
 
-    Words are encoded independently by such a file, so each distinct word is encoded once and
-    remembered (up to ``known`` words, then the memory starts anew). Texts with characters
-    outside the plain range, or with marks of special tokens, are encoded whole.
+    Such a file drops white space and encodes words one by one, so each distinct word is encoded
+    once; the memory holds at most ``known`` words a generation. Texts with unusual characters are
+    encoded whole.
     """
 
-    def __init__(self, path: str, known: int = KNOWN_WORDS):
+    def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = known
-        self.words: dict[str, bytes] = {}
+        self.words = Memory(known)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -53,23 +75,24 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out: list[bytes] = []
-        for text in texts:
-            if UNUSUAL.search(text):
-                out.append(self._encode([text])[0])
-                continue
-            words = WORD.findall(text.lower())
-            new = list({w for w in words if w not in self.words})
-            if new:
-                if len(self.words) + len(new) > self.known:
-                    self.words = {}
-                    new = list(set(words))
-                # Long documents bring their own new words in slices of bounded size.
-                for i in range(0, len(new), 4096):
-                    part = new[i : i + 4096]
-                    self.words.update(zip(part, self._encode(part)))
-            out.append(b"".join(map(self.words.__getitem__, words)))
-        return out
+        split = [None if UNUSUAL.search(text) else text_words(text.lower()) for text in texts]
+        new = self.words.missing(set().union(*(words for words in split if words)))
+        for i in range(0, len(new), 4096):
+            some = new[i : i + 4096]
+            self.words.new.update(zip(some, self._encode(some)))
+        word = self.words.new.__getitem__
+        return [
+            self._encode([text])[0] if words is None else b"".join(map(word, words))
+            for text, words in zip(texts, split)
+        ]
+
+
+def text_words(text: str) -> list[str]:
+    """Words of a lower-case text of plain characters by the file's pattern. Where no numeral,
+    apostrophe or underscore occurs, these are what is left after setting marks apart."""
+    if SPECIAL.search(text):
+        return WORD.findall(text)
+    return MARKS.sub(r" \g<0> ", text).split()
 
 
 @lru_cache(maxsize=2)
