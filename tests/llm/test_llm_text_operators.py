@@ -347,5 +347,6 @@ def test_unusual_texts_get_the_tokenizers_ids():
         "It's  DON'T we'll\tx\n 12a b_c", "ÀÉ ß İstanbul naïve", "a b", "<|endoftext|> x", "", "日本語 テスト",
         "éa", "\x1c a\x85b", "'s 't''re", "one two three four five six seven one two",
     ]
+    texts += [f"a{chr(c)}b {chr(c)}" for c in range(0x20, 0x300)]
     want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert own.encode(texts) == want and own.encode(texts) == want
