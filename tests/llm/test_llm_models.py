@@ -185,7 +185,9 @@ def plain_kneser_ney(words):
 def test_models_equal_plain_kneser_ney(spark):
     docs = bilingual(spark)
     counts = language_id.gram_counts(docs)
-    model = language_id.CharacterModels.gathered(language_id.model_tables(counts, 30), 30)
+    languages = ["de", "en"]
+    tables = language_id.model_tables(counts, languages, 30)
+    model = language_id.CharacterModels.gathered(tables, languages, 30)
     for place, lang in enumerate(model.languages):
         words = [w for r in docs.filter(F.col("lang") == lang).collect() for w in r.text.split()]
         p = plain_kneser_ney(words)
