@@ -27,7 +27,7 @@ from flowsieve.llm.common import stored
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN = 400_000
+KNOWN = 200_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Fixed: the word pattern of the vocabulary file.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -56,6 +56,10 @@ class Memory:
             self.new[key] = self.old[key]
         return list(absent.difference(self.new))
 
+    def rest(self) -> None:
+        """Between tasks a worker, which may go on to other work, keeps one generation at most."""
+        self.old = {}
+
 
 class WordTokenizer:
     """Ids of whole texts by a word-level BPE file, remembering what it has encoded.
@@ -132,6 +136,7 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
                     )
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        tokenizer.words.rest()
 
     return cut
 
