@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.llm.common import row_struct, stored, unpacked
+from flowsieve.llm.common import row_struct, small_side, stored, unpacked
 from flowsieve.llm.components import connected_components
+from flowsieve.llm.exact_dedup import text_digest
 
 SHINGLE = 3
 DISTANCE = 2
@@ -59,7 +60,8 @@ def _fingerprints(shingle: int):
                 (fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                ["doc_id", "fp", *batch.schema.names[2:]],
             )
 
     return compute
@@ -232,10 +234,11 @@ def components(
     pivots: int = PIVOTS,
     largest: int = LARGEST_KEY,
 ) -> DataFrame:
-    """fp and component_id (smallest doc_id reachable) for every distinct fingerprint.
+    """fp, component (its smallest fp) and component_id (smallest doc_id reachable) for every
+    distinct fingerprint.
 
     ``prints`` has doc_id and fp; rows of one fingerprint fold to one before any comparison. The
-    component of fingerprints without a doc_id is null.
+    component_id of fingerprints without a doc_id is null.
     """
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct")
     linked = connected_components(fingerprint_links(distinct.select("fp"), distance, pivots, largest))
@@ -243,7 +246,7 @@ def components(
         "component", F.coalesce("component", "fp")
     )
     ids = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return members.join(ids, "component").select("fp", "component_id")
+    return members.join(ids, "component").select("fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -259,19 +262,44 @@ def near_duplicates(docs: DataFrame, text: str = "text", **options) -> DataFrame
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
+    """One document of each component, with all its columns: the one with the smallest doc_id, of
+    several with that doc_id or of a component without any the one with the smallest text digest.
 
     Texts without words carry no evidence of likeness beyond being empty, and are one component.
-    Rows without a doc_id are kept only if their component has no other. Of rows that repeat the
-    kept doc_id one stays. Only the ids of the documents that stay travel to the texts.
+    Rows without a doc_id are kept only if their component has no other. Only the ids and digests
+    of the documents that stay travel to the texts.
     """
-    prints = stored(fingerprints(docs, text, options.pop("shingle", SHINGLE)), "fingerprints")
-    found = components(prints, **options)
-    stay = stored(
-        prints.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(),
-        "stay",
+    id_, digest = F.col("doc_id").cast("bigint"), F.unhex(text_digest(F.col(f"`{text}`")))
+    bodies = docs.select(id_.alias("doc_id"), F.col(f"`{text}`"), digest.alias("digest"))
+    compute = _fingerprints(options.pop("shingle", SHINGLE))
+    prints = stored(bodies.mapInArrow(compute, "doc_id bigint, fp bigint, digest binary"), "fingerprints")
+    found = components(prints.select("doc_id", "fp"), **options)
+    return staying_rows(docs, text, prints, found)
+
+
+def staying_rows(docs: DataFrame, text: str, prints: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of ``docs`` that stays of each component of ``found`` (fp, component), chosen by
+    folding ``prints`` (doc_id, fp, digest): no component meets in a task, and a text travels only if
+    its row stays."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "n")
+    folded = prints.groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    least = folded.groupBy("fp").agg(F.min(place).alias("stay"))
+    stay = least.join(found.select("fp", "component"), "fp").groupBy("component").agg(F.min("stay").alias("stay"))
+    stay = stored(stay.select("stay.doc_id", "stay.digest", "stay.n"), "stay")
+    rows = docs.select(
+        row_struct(docs),
+        F.col("doc_id").cast("bigint").alias("_id"),
+        F.unhex(text_digest(F.col(f"`{text}`"))).alias("_digest"),
     )
-    rows = docs.select(row_struct(docs), F.col("doc_id").alias("_id"))
-    kept = rows.join(stay, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
-    place = F.row_number().over(Window.partitionBy("_id").orderBy(F.col(f"_row.`{text}`")))
-    return kept.withColumn("_place", place).filter("_place = 1").select(*unpacked(kept, docs.columns, []))
+
+    def met(chosen: DataFrame) -> DataFrame:
+        same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_digest") == F.col("digest"))
+        return rows.join(small_side(chosen), same, "left_semi")
+
+    kept = met(stay.filter("n = 1"))
+    repeated = stay.filter("n > 1")
+    if not repeated.isEmpty():
+        # Rows of one doc_id and one text: one stays, folded before the shuffle.
+        single = met(repeated).groupBy("_id", "_digest").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+        kept = kept.select("_row").unionByName(single.select("_row"))
+    return kept.select(*unpacked(kept, docs.columns, []))

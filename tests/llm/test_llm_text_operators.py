@@ -158,6 +158,15 @@ def test_near_dedup_of_awkward_rows(awkward):
     assert sorted(r.doc_id for r in stay.collect()) == [1, 3, 5, 7]
 
 
+def test_every_component_keeps_a_row_whatever_its_ids(spark):
+    first, second, third, fourth = (" ".join(f"{c}{i}" for i in range(60)) for c in "abcd")
+    rows = [(None, first), (None, first), (None, second), (5, third), (5, fourth), (5, third), (4, fourth), (None, third)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) + EXTRA for i, t in rows], SCHEMA)
+    stay = simhash.drop_near_duplicates(docs).select("doc_id", "text")
+    assert set(rows_of(stay)) == {(None, first), (None, second), (5, third), (4, fourth)}
+    assert stay.count() == 4
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(rows_of(connected_components(spark.createDataFrame(edges, "a bigint, b bigint"))))
