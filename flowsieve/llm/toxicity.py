@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from flowsieve.llm.common import small_side, stored
 from flowsieve.llm.exact_dedup import text_digest
 from flowsieve.llm.language_id import text_words
+from flowsieve.session import scratch_path
 
 PRIOR = 0.125
 DEVIATIONS = 4.0
 STRENGTH = 1.0
-LEXICON = 50_000
+# Up to so many significant words travel as a dictionary; above, texts meet their words in a join.
+LEXICON = 500_000
 EXPECTED = 0.05
 BIN = 0.25
 BINS = 400
@@ -57,14 +59,18 @@ def _word_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class ToxicityModel:
-    """Weights of significant words, the weight of all others, and the two calibrations."""
+    """Weights of significant words, the weight of all others, and the two calibrations.
 
-    weights: dict[str, float]
+    ``weights`` is None if the words are too many for a dictionary; they are then rows of the stored
+    table at ``lexicon``."""
+
+    weights: dict[str, float] | None
     rest: float
     decay: float
     scale: float = 1.0
     slope: float = 1.0
     offset: float = 0.0
+    lexicon: str | None = None
 
     def expected(self, score: float, words: int) -> float:
         """Expected number of segments of a clean text of that length with at least that score."""
@@ -74,14 +80,17 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * evidence + self.offset, -50, 50)))
 
 
-def maximal_segments(words: list[str], model: ToxicityModel) -> list[tuple[int, int, float]]:
+def maximal_segments(
+    words: list[str], model: ToxicityModel, own: dict[str, float] | None = None
+) -> list[tuple[int, int, float]]:
     """All maximal segments (first, end, score) of positive total, in text order, in linear time.
 
     The scan keeps candidate segments with the running total before and after each. A new positive
     word joins to its left as long as an earlier candidate starts lower and ends no higher; words
-    without a weight of their own only move the total.
+    without a weight of their own only move the total. ``own`` has the text's weights where the
+    model has no dictionary.
     """
-    weights, rest = model.weights, model.rest
+    weights, rest = model.weights if own is None else own, model.rest
     held: list[list] = []  # first, end, total before, total after, nearest candidate starting lower
     total, last = 0.0, -1
     for i, word in enumerate(words):
@@ -109,12 +118,14 @@ def maximal_segments(words: list[str], model: ToxicityModel) -> list[tuple[int,
     return [(first, end, after - before) for first, end, before, after, _ in held]
 
 
-def passages(words: list[str], model: ToxicityModel) -> tuple[list[dict], float, float]:
+def passages(
+    words: list[str], model: ToxicityModel, own: dict[str, float] | None = None
+) -> tuple[list[dict], float, float]:
     """Significant passages, their summed evidence, and the highest segment score.
 
     A passage's evidence is the log of how much rarer it is than the significance limit."""
     found, evidence, highest = [], 0.0, 0.0
-    for first, end, score in maximal_segments(words, model):
+    for first, end, score in maximal_segments(words, model, own):
         highest = max(highest, score)
         expected = model.expected(score, len(words))
         if expected <= EXPECTED:
@@ -132,14 +143,52 @@ def _scan(shared, emit):
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 rows = []
-                for text in part.column(0):
+                own = part.column(1) if model.weights is None else None
+                for i, text in enumerate(part.column(0)):
                     words = text_words(text.as_py())
-                    rows.append((len(words), *passages(words, model)))
+                    mine = None if own is None else {e["word"]: e["weight"] for e in own[i].as_py() or ()}
+                    rows.append((len(words), *passages(words, model, mine)))
+                if own is not None:
+                    part = part.select([0, *range(2, part.num_columns)])
                 yield pa.RecordBatch.from_arrays(*emit(model, part, rows))
 
     return scan
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            keys, words = [], []
+            for key, text in zip(part.column(0).to_pylist(), part.column(1)):
+                found = set(text_words(text.as_py()))
+                keys.extend([key] * len(found))
+                words.extend(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(words, pa.string())], ["_key", "word"]
+            )
+
+
+def with_weights(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``rows``, whose first column is a text; if the model has no dictionary, the second column then
+    lists the significant words of the text with their weights.
+
+    Each distinct text meets the stored words by its own distinct words; only digests and words
+    travel until the lists go back to the texts."""
+    if model.weights is not None:
+        return rows
+    body, *others = [f"`{c}`" for c in rows.columns]
+    key = F.unhex(F.sha2(F.coalesce(F.col(body), F.lit("")).cast("binary"), 256))
+    words = rows.select(key.alias("_key"), body).mapInArrow(_distinct_words, "_key binary, word string")
+    lexicon = rows.sparkSession.read.parquet(model.lexicon)
+    lists = (
+        words.distinct().join(lexicon, "word")
+        .groupBy("_key")
+        .agg(F.collect_list(F.struct("word", "weight")).alias("_own"))
+    )
+    return rows.withColumn("_key", key).join(lists, "_key", "left").select(body, "_own", *others)
+
+
 def _emit_scores(model, part, rows):
     score = model.probability(np.array([r[2] for r in rows], np.float64))
     kind = pa.list_(
@@ -193,7 +242,8 @@ def significant_words(
 
     A word votes once per text. Its prior is ``prior`` times its votes of both labels. Words whose
     log-odds are at least ``strength``, and ``deviations`` standard deviations from zero, keep their
-    weight, the surest ``lexicon`` if there are more; all others share the log-odds of what is left.
+    weight, as a dictionary up to ``lexicon`` words and as a stored table above; all others share the
+    log-odds of what is left.
     Without the strength, words of a language with more toxic texts would add up over any text.
     """
     votes = stored(
@@ -211,21 +261,27 @@ def significant_words(
     odds = lambda n, of: F.log((F.col(n) + pooled) / (F.lit(of + whole) - F.col(n) - pooled + 1))
     delta = odds("toxic", mass[0]) - odds("clean", mass[1])
     spread = F.sqrt(1 / (F.col("toxic") + pooled) + 1 / (F.col("clean") + pooled))
-    strong = (
+    strong = scratch_path(rows.sparkSession, "lexicon")
+    (
         votes.filter("word NOT IN ('', ' ')")
         .withColumn("weight", delta)
-        .withColumn("z", F.col("weight") / spread)
-        .filter((F.abs("z") >= deviations) & (F.abs("weight") >= strength))
-        .orderBy(F.desc(F.abs("z")), "word")
-        .limit(lexicon)
-        .collect()
+        .filter((F.abs(F.col("weight") / spread) >= deviations) & (F.abs("weight") >= strength))
+        .write.parquet(strong)
     )
-    left = [mass[i] - sum(r[name] for r in strong) for i, name in enumerate(("toxic", "clean"))]
+    known = rows.sparkSession.read.parquet(strong)
+    # A weight follows from its votes, and words with the same votes are one row here.
+    kinds = known.groupBy("toxic", "clean").agg(F.min("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    kinds = kinds.orderBy("toxic", "clean").toPandas()
+    n = kinds["n"].to_numpy(np.int64)
+    left = [mass[i] - int((kinds[name].to_numpy(np.int64) * n).sum()) for i, name in enumerate(("toxic", "clean"))]
     rest = math.log((max(left[0], 1) / max(mass[0], 1)) / (max(left[1], 1) / max(mass[1], 1)))
-    model = ToxicityModel({r["word"]: r["weight"] for r in strong}, min(rest, -0.01), 1.0)
+    model = ToxicityModel(None, min(rest, -0.01), 1.0, lexicon=strong)
+    if n.sum() <= lexicon:
+        model.weights = {r["word"]: r["weight"] for r in known.select("word", "weight").collect()}
     # How often clean texts show each weight; words never seen clean count half a text.
-    seen = np.array([max(r["clean"], 0.5) for r in strong] + [max(left[1], 1)]) / max(mass[1], 1)
-    values = np.array([r["weight"] for r in strong] + [model.rest])
+    clean = np.maximum(kinds["clean"].to_numpy(np.float64), 0.5) * n
+    seen = np.append(clean, max(left[1], 1)) / max(mass[1], 1)
+    values = np.append(kinds["weight"].to_numpy(np.float64), model.rest)
     model.decay = extreme_value_decay(values, seen / seen.sum())
     return model
 
@@ -270,14 +326,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> To
     context = docs.sparkSession.sparkContext
     clean = rows.filter("toxic = 0").select("text")
     term, n = (
-        clean.mapInArrow(_scan(context.broadcast(model), _emit_highest), "term double, n bigint")
+        with_weights(clean, model)
+        .mapInArrow(_scan(context.broadcast(model), _emit_highest), "term double, n bigint")
         .agg(F.sum("term"), F.sum("n"))
         .first()
     )
     # Maximum likelihood of the scale of P(highest < s) = exp(-scale * words * exp(-decay * s)).
     model.scale = n / term if term else 1.0
     counts = (
-        rows.mapInArrow(_scan(context.broadcast(model), _emit_evidence), "bin bigint, toxic int")
+        with_weights(rows.select("text", "toxic"), model)
+        .mapInArrow(_scan(context.broadcast(model), _emit_evidence), "bin bigint, toxic int")
         .groupBy("bin")
         .agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
         .toPandas()
@@ -305,7 +363,8 @@ def score(docs: DataFrame, model: ToxicityModel | None, text: str = "text") -> D
         )
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = docs.select(F.col(f"`{text}`").alias("_body"), *own).mapInArrow(
+    bodies = docs.select(F.col(f"`{text}`").alias("_body"), *own)
+    scored = with_weights(bodies, model).mapInArrow(
         _scan(shared, _emit_scores), f"{kinds}, score double, passages {PASSAGES}"
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -282,6 +282,28 @@ def test_toxicity_is_learnt_and_located(spark):
     assert toxicity.fit(docs, none) is None and {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_all_significant_words_count_however_many(spark):
+    letters = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    rows, labels = [], []
+    for i in range(1200):
+        word = letters[i % 120]
+        rows.append((i, f"va vb vc {word}{'bad' if i % 3 == 0 else 'fine'} vd ve {i}", "en", "x", "x", "x", "x"))
+        labels.append((i, int(i % 3 == 0)))
+    rows.append((1200, None, "en", "x", "x", "x", "x"))
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    options = {"deviations": 1.0}
+    whole, joined = (toxicity.fit(docs, known, lexicon=n, **options) for n in (500, 3))
+    assert len(whole.weights) > 100 and joined.weights is None
+    assert (joined.rest, joined.decay, joined.scale, joined.slope) == pytest.approx(
+        (whole.rest, whole.decay, whole.scale, whole.slope)
+    )
+    want, got = ({r.doc_id: r for r in toxicity.score(docs, m).collect()} for m in (whole, joined))
+    assert len(got) == 1201 and all(got[i].passages == want[i].passages for i in want)
+    assert all(got[i].score == pytest.approx(want[i].score) for i in want)
+    assert spark.read.parquet(joined.lexicon).count() == len(whole.weights)
+
+
 def test_held_out_toxicity(spark, sf_dir):
     folder = sf_dir.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
