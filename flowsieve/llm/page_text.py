@@ -135,7 +135,7 @@ def page_blocks(source: str | None) -> list[Block]:
                 break
         if tag not in VOID and not found[3].endswith("/"):
             names = [w.lower() for m in _NAMES.finditer(found[3]) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")]
-            stack.append((tag, " ".join([tag, *names[:8]])))
+            stack.append((tag, " ".join([tag, *names])))
     flush()
     return blocks
 

@@ -91,6 +91,17 @@ def test_blocks_and_rule_labels():
     assert [b.text for b in page_text.page_blocks("a<div>b</span>c<")] == ["a", "bc<"]
 
 
+def test_regions_behind_long_class_lists_are_read():
+    utilities = "md:flex-row lg:flex-col px-four py-two mx-auto"
+    page = (
+        f'<main><p>Kept</p><div class="{utilities}" id="comments"><p>One</p></div>'
+        f'<div class="{utilities} sidebar"><p>Two</p></div><div class="{utilities}" role="navigation"><p>Three</p></div></main>'
+    )
+    blocks = page_text.page_blocks(page)
+    assert page_text.rule_labels(blocks) == [1, 0, 0, 0]
+    assert "comments" in blocks[1].path[1].split()
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     model = page_text.Labeller()
