@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from flowsieve.llm import (
     exact_dedup,
     language_id,
+    lexical_search,
     mixing,
     multi_index,
+    multiset_hash,
     packing,
     page_text,
     simhash,
     slots,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 from flowsieve.llm.common import held_out, read_table, stored, word_count
 from flowsieve.session import scratch_path
@@ -225,3 +228,52 @@ def op7_recurrent_page_text(spark, sf_dir):
     """Main text of every page."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return page_text.extract(pages, page_text.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op11_cholesky_jacobi_whitening(spark, sf_dir):
+    """Every vector on each of the 32 components of largest variance, whitened."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op12_multiset_fingerprints(spark, sf_dir):
+    """Every document's fingerprint, that of its edited text, and how like they are."""
+    return multiset_hash.fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(
+    r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::HUGEINT AS n FROM postings GROUP BY doc_id),
+corpus AS (SELECT count(*)::HUGEINT AS documents, sum(n)::HUGEINT AS total FROM lengths),
+shares AS (SELECT doc_id, 100 - 75 + ((75 * n * documents) // total) AS m FROM lengths, corpus),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+queries AS (SELECT item_id, term, count(*) AS repeats FROM asked GROUP BY item_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * documents + 2) / (2 * count(*) + 1)))::HUGEINT AS w
+  FROM postings, corpus WHERE term IN (SELECT term FROM queries) GROUP BY term, documents
+),
+scores AS (
+  SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM queries JOIN weights USING (term) JOIN postings USING (term) JOIN shares USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+)
+def op13_max_sketch_search(spark, sf_dir):
+    """The ten highest-scoring documents of every benchmark item."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.ranked(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
