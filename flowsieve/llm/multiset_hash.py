@@ -79,8 +79,10 @@ def _half(number: Column, upper: int) -> Column:
 
 def combined(left: Column, right: Column, sign: int = 1) -> Column:
     """Fingerprint of the paragraphs of both, or with ``sign`` -1 of ``left`` without ``right``'s."""
+    # Neither side may be named inside the lambda, where it would be computed for every lane.
+    sums = F.zip_with(left, right, lambda x, y: x + sign * y)
     return F.transform(
-        left, lambda x, i: F.pmod(x + sign * F.get(right, i), F.when(i < STRONG, 1 << STRONG_BITS).otherwise(1 << COUNTING_BITS))
+        sums, lambda x, i: F.pmod(x, F.when(i < STRONG, 1 << STRONG_BITS).otherwise(1 << COUNTING_BITS))
     )
 
 
