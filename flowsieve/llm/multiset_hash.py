@@ -18,8 +18,9 @@ from flowsieve.llm.common import SPACE, stored
 STRONG, COUNTING = 8, 64
 STRONG_BITS, COUNTING_BITS = 32, 16
 SHINGLE = 3
-# Two counters in a 64-bit number: bits of a hash at distance 32.
-PAIR = (1 << 32) | 1
+# Four counters in a 64-bit number: bits of a hash at distance 16, for as many triples as fit.
+FOUR = (1 << 48) | (1 << 32) | (1 << 16) | 1
+TRIPLES_A_COUNT = (1 << 15) - 1
 LOW = (1 << 32) - 1
 ROWS_A_RANGE = 100_000
 COPIES_A_BLOCK = 10_000
@@ -59,18 +60,35 @@ def _paragraph_lanes(parts: Column) -> Column:
         ]),
         lambda acc: F.array(*[F.pmod(acc[f"s{i}"], F.lit(1 << STRONG_BITS)) for i in range(STRONG)]),
     )
-    pairs = COUNTING // 2
-    counting = F.aggregate(
-        F.flatten(F.transform(parts, _triples)),
-        F.struct(zero.alias("n"), *[zero.alias(f"c{i}") for i in range(pairs)]),
+    return F.concat(strong, F.get(F.transform(F.array(F.flatten(F.transform(parts, _triples))), _counts), 0))
+
+
+def _counts(hashes: Column) -> Column:
+    """The counting lanes of all hashes: counted in runs that no counter outgrows, then added up."""
+    runs = F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / TRIPLES_A_COUNT).cast("int"))
+    counted = F.transform(
+        F.when(F.size(hashes) > 0, runs).otherwise(F.array().cast("array<int>")),
+        lambda k: _run_counts(F.slice(hashes, k * TRIPLES_A_COUNT + 1, F.lit(TRIPLES_A_COUNT))),
+    )
+    return F.aggregate(
+        counted,
+        F.array_repeat(F.lit(0).cast("bigint"), COUNTING),
+        lambda acc, run: F.transform(F.zip_with(acc, run, lambda x, y: x + y), lambda x: F.pmod(x, F.lit(1 << COUNTING_BITS))),
+    )
+
+
+def _run_counts(hashes: Column) -> Column:
+    zero, numbers, mask = F.lit(0).cast("bigint"), COUNTING // 4, F.lit((1 << 16) - 1)
+    return F.aggregate(
+        hashes,
+        F.struct(zero.alias("n"), *[zero.alias(f"c{i}") for i in range(numbers)]),
         lambda acc, h: F.struct((acc["n"] + 1).alias("n"), *[
-            (acc[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(PAIR))).alias(f"c{i}") for i in range(pairs)
+            (acc[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(FOUR))).alias(f"c{i}") for i in range(numbers)
         ]),
         lambda acc: F.array(*[
-            F.pmod(2 * _half(acc[f"c{i}"], k) - acc["n"], F.lit(1 << COUNTING_BITS)) for k in range(2) for i in range(pairs)
+            2 * F.shiftrightunsigned(acc[f"c{i}"], 16 * k).bitwiseAND(mask) - acc["n"] for k in range(4) for i in range(numbers)
         ]),
     )
-    return F.concat(strong, counting)
 
 
 def _half(number: Column, upper: int) -> Column:
@@ -96,6 +114,19 @@ def deleted(fingerprint: Column, text: Column) -> Column:
     return combined(fingerprint, lanes(text), -1)
 
 
+def narrow(fingerprint: Column) -> Column:
+    """A fingerprint in a third of the bytes, for shuffling; ``widened`` gives it back."""
+    counting = F.transform(
+        F.slice(fingerprint, STRONG + 1, COUNTING), lambda x: F.when(x < 1 << 15, x).otherwise(x - (1 << 16)).cast("smallint")
+    )
+    return F.struct(F.slice(fingerprint, 1, STRONG).alias("strong"), counting.alias("counting"))
+
+
+def widened(fingerprint: Column) -> Column:
+    counting = F.transform(fingerprint["counting"], lambda x: F.pmod(x.cast("bigint"), F.lit(1 << COUNTING_BITS)))
+    return F.concat(fingerprint["strong"], counting)
+
+
 def as_string(fingerprint: Column) -> Column:
     """Hexadecimal digits of all lanes: eight for each of the first, four for each of the others."""
     return F.lower(
@@ -187,52 +218,54 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     travels as narrow rows.
     """
     keyed = _keyed(docs, key, text)
-    narrow = stored(
-        keyed.select("doc_id", "_key", F.length("text").cast("bigint").alias("n_chars"), lanes(F.col("text")).alias("own")),
-        "fingerprints",
-    )
     distinct = stored(
-        narrow.groupBy("_key").agg(
+        keyed.select("doc_id", "_key", F.length("text").alias("n_chars"), narrow(lanes(F.col("text"))).alias("own"))
+        .groupBy("_key")
+        .agg(
             F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"), F.first("own").alias("own"),
             F.count(F.lit(1)).alias("copies"),
         ),
         "documents",
     )
+    facts = distinct.select("_key", "doc_id", "n_chars", "copies")
     take = F.expr("n_chars div 4").cast("int")
-    linked = stored(distinct.join(_followers(distinct), "_key").withColumn("take", take), "linked")
-    texts = keyed.groupBy("_key").agg(F.first("text").alias("text"))
+    linked = stored(facts.join(_followers(facts), "_key").withColumn("take", take), "linked")
+    # One shuffle of the texts serves both joins.
+    texts, prints = keyed.groupBy("_key").agg(F.first("text").alias("text")), distinct.select("_key", "own")
     wanted = linked.select(F.col("next_key").alias("_key"), F.col("_key").alias("_to"), "take")
-    heads = texts.join(wanted, "_key").select(
-        F.col("_to").alias("_key"), F.substring("text", F.lit(1), F.col("take")).alias("new")
+    heads = texts.join(wanted, "_key").join(prints, "_key").select(
+        F.col("_to").alias("_key"), F.substring("text", F.lit(1), F.col("take")).alias("new"), F.col("own").alias("next_own")
     )
-    following = distinct.select(F.col("_key").alias("next_key"), F.col("own").alias("next_own"))
-    met = linked.join(following, "next_key").join(texts, "_key").join(heads, "_key")
-    kept = F.col("n_chars").cast("int") - F.col("take")
-    last = F.struct(F.lit(1).cast("bigint").alias("copies"), "new", F.col("next_own").alias("next_own"))
+    met = texts.join(linked.drop("next_key"), "_key").join(prints, "_key").join(heads, "_key")
+    last = F.struct(F.lit(1).cast("bigint").alias("copies"), "new", "next_own")
     others = F.struct(
         (F.col("copies") - 1).alias("copies"), F.substring("text", F.lit(1), F.col("take")).alias("new"),
         F.col("own").alias("next_own"),
     )
     cases = F.when(F.col("copies") > 1, F.array(last, others)).otherwise(F.array(last))
+    kept = F.col("n_chars") - F.col("take")
     each = met.select(
-        "doc_id", "n_chars", "own", "text", kept.alias("kept"), F.explode(cases).alias("case")
-    ).select("doc_id", "n_chars", "own", "text", "kept", "case.*")
+        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), widened(F.col("own")).alias("own"), "text",
+        kept.alias("kept"), F.explode(cases).alias("case"),
+    ).select("doc_id", "n_chars", "own", "text", "kept", "case.copies", "case.new", widened(F.col("case.next_own")).alias("next_own"))
     done = each.select(
-        "doc_id", "n_chars", "copies", "own", "next_own",
-        F.sha2(F.concat(F.substring("text", F.lit(1), F.col("kept")), "new"), 256).alias("edited_sha256"),
-        edited_lanes(F.col("own"), F.col("text"), F.col("kept"), F.col("new")).alias("edited"),
-    )
-    done = stored(done, "edited")
-    outputs = [
-        "doc_id", "n_chars", "edited_sha256", as_string(F.col("own")).alias("fingerprint"),
+        "doc_id", "n_chars", "copies",
+        F.sha2(F.concat(F.substring("text", F.lit(1), F.col("kept")), "new"), 256).alias("edited_sha256"), "own", "next_own",
+        # A generator's output is computed once, though three columns read it.
+        F.explode(F.array(edited_lanes(F.col("own"), F.col("text"), F.col("kept"), F.col("new")))).alias("edited"),
+    ).select(
+        "doc_id", "n_chars", "copies", "edited_sha256", as_string(F.col("own")).alias("fingerprint"),
         as_string(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_own")).alias("near_next"),
-    ]
-    single = done.filter("copies = 1").select(*outputs)
-    several = done.filter("copies > 1").select(*outputs, "copies")
+    )
+    one = F.lit(1).cast("bigint")
+    most = distinct.agg(F.max("copies")).first()[0] or 0
+    if most <= COPIES_A_BLOCK:
+        return done.withColumn("copies", F.explode(F.sequence(one, F.col("copies")))).drop("copies")
+    # Copies of one document are written out by several tasks, a block each.
+    done = stored(done, "edited")
     blocks = F.expr(f"sequence(0, (copies - 1) div {COPIES_A_BLOCK})")
-    counted = several.withColumn("_block", F.explode(blocks)).repartition(F.col("_block"), F.col("fingerprint"))
+    counted = done.withColumn("_block", F.explode(blocks)).repartition(F.col("_block"), F.col("fingerprint"))
     n = F.least(F.lit(COPIES_A_BLOCK), F.col("copies") - F.col("_block") * COPIES_A_BLOCK)
-    repeated = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
-    return single.unionByName(repeated.drop("copies", "_block", "_copy"))
+    return counted.withColumn("_block", F.explode(F.sequence(one, n))).drop("copies", "_block")
