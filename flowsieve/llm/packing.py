@@ -27,7 +27,8 @@ from flowsieve.llm.common import stored
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN = 200_000
+KNOWN = 300_000
+LINE = 64
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Fixed: the word pattern of the vocabulary file.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -56,34 +57,55 @@ class Memory:
             self.new[key] = self.old[key]
         return list(absent.difference(self.new))
 
-    def rest(self) -> None:
-        """Between tasks a worker, which may go on to other work, keeps one generation at most."""
-        self.old = {}
+    def forget(self) -> None:
+        """Between tasks a worker, which may go on to other work, keeps nothing."""
+        self.new, self.old = {}, {}
 
 
 class WordTokenizer:
     """Ids of whole texts by a word-level BPE file, remembering what it has encoded.
 
     Such a file drops white space and encodes words one by one, so each distinct word is encoded
-    once; the memory holds at most ``known`` words a generation. Texts with unusual characters are
-    encoded whole.
+    once; the memory holds at most ``known`` words a generation. New words are encoded in lines of
+    ``LINE``, which are cut where a token ends a word. Texts with unusual characters are encoded
+    whole.
     """
 
     def __init__(self, path: str, known: int = KNOWN):
         self.tokenizer = Tokenizer.from_file(path)
         self.words = Memory(known)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        tokens = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(tokens.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in tokens.items() if token.endswith(suffix)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; a line whose words cannot be told apart is encoded word by word."""
+        lines = [words[i : i + LINE] for i in range(0, len(words), LINE)]
+        found = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+        out = []
+        for line, encoding in zip(lines, found):
+            ids = np.array(encoding.ids, dtype="<u4")
+            stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stops) != len(line) or stops[-1] != 4 * len(ids):
+                out.extend(self._encode(line))
+                continue
+            data, stops = ids.tobytes(), stops.tolist()
+            out.extend([data[i:j] for i, j in zip([0, *stops], stops)])
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [None if UNUSUAL.search(text) else text_words(text.lower()) for text in texts]
         new = self.words.missing(set().union(*(words for words in split if words)))
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            self.words.new.update(zip(some, self._encode(some)))
+        for i in range(0, len(new), 64 * LINE):
+            some = new[i : i + 64 * LINE]
+            self.words.new.update(zip(some, self._encode_words(some)))
         word = self.words.new.__getitem__
         return [
             self._encode([text])[0] if words is None else b"".join(map(word, words))
@@ -110,8 +132,8 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 keys, piece, start, length, crc, ids = [], [], [], [], [], []
                 for key, body in zip(part.column(0).to_pylist(), tokenizer.encode(texts)):
@@ -136,7 +158,8 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
                     )
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
-        tokenizer.words.rest()
+        tokenizer.words.forget()
+        pa.default_memory_pool().release_unused()
 
     return cut
 
