@@ -1,105 +1,171 @@
 """Exact order statistics of groups of any size.
 
-A group may hold most of a very large table, so its values are never gathered in one task.
-Equal values are folded into counts, the counts are range-partitioned over the whole cluster by
-(group, value), each range reports only its weight and its end points, and the wanted ranks are
-then looked up inside the single range that contains them.
+A group may hold most of a very large table, so its values are never gathered in one task, sorted or
+shuffled. Quantiles are found by radix selection: a value's order is that of a 64-bit number, and each
+round counts the values of every open bracket by their next 16 bits. Counting is one aggregate with
+partial combination, so what is shuffled are counts; the digit that holds a wanted rank becomes the
+next round's bracket, until all values of the bracket are the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowsieve.session import scratch_path
 
-def count_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Non-null values of each group with their multiplicity."""
-    present = F.col(value).isNotNull() & ~F.isnan(value)
-    return df.filter(present).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("weight"))
+DIGIT_BITS = 16
+_MANTISSA = 52
 
 
-def _value_ranges(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Weight, end points and weight below, for each piece of the range partitioning."""
-    pieces = (
-        counted.repartitionByRange(*keys, value)
-        .groupBy(*keys, F.spark_partition_id().alias("piece"))
-        .agg(
-            F.sum("weight").alias("inside"),
-            F.min(value).alias("low"),
-            F.max(value).alias("high"),
-        )
-    )
-    before = (
-        Window.partitionBy(*keys).orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+def long_values(df: DataFrame, features: list[str], keys: list[str]) -> DataFrame:
+    """One row per (row, feature): the keys, ``feature`` and ``value``."""
+    pairs = [
+        F.struct(F.lit(name).alias("feature"), F.col(f"`{name}`").cast("double").alias("value"))
+        for name in features
+    ]
+    return df.select(*keys, F.inline(F.array(*pairs)))
+
+
+def order_code(value: Column) -> Column:
+    """A signed 64-bit number with the order of the double ``value``: exponent and mantissa of its
+    magnitude, as the double's own bits hold them, with its sign. Zeros are one value; NaN has none.
+    """
+    size = F.abs(value)
+    # The logarithm may be off by one next to a power of two, which the comparisons mend.
+    guess = F.floor(F.log2(size))
+    power = F.pow(F.lit(2.0), guess)
+    exponent = guess - F.when(power > size, 1).when(size >= power * 2, -1).otherwise(0)
+    fraction = size / F.pow(F.lit(2.0), exponent) - 1
+    normal = (exponent + 1023) * F.lit(1 << _MANTISSA) + (fraction * float(1 << _MANTISSA)).cast("bigint")
+    code = (
+        F.when(size == 0, F.lit(0).cast("bigint"))
+        .when(size == float("inf"), F.lit(2047 << _MANTISSA))
+        # Below the normal range a double is a whole multiple of 2^-1074.
+        .when(size < 2.0**-1022, (size * 2.0**537 * 2.0**537).cast("bigint"))
+        .otherwise(normal)
     )
-    return pieces.withColumn("below", F.coalesce(F.sum("inside").over(before), F.lit(0)))
+    return F.when(value < 0, -code).otherwise(code)
 
 
-def values_at_ranks(
-    counted: DataFrame,
-    wanted: DataFrame,
-    keys: list[str],
-    value: str,
-    fixed_groups: bool = False,
-) -> DataFrame:
-    """The value at each wanted 1-based rank.
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
-    ``wanted`` has the keys, ``rank_name`` and ``rank``; the result adds ``value_at``. With
-    ``fixed_groups`` the caller vouches that the number of groups is set by its arguments and not
-    by the data, so the located ranges (one row per group and rank) may be broadcast; otherwise
-    adaptive execution decides by their measured size.
+
+def _located(counted: DataFrame, groups: list[str], ranks: DataFrame | None, ends: Column | None) -> DataFrame:
+    """The digit that holds each wanted rank: groups, ``rank_name``, ``rank`` within it, ``prefix``,
+    ``low`` and ``high``.
+
+    ``counted`` has at most 2^16 digits a group, so the windows are small whatever the data.
     """
-    hits = (
-        _value_ranges(counted, keys, value)
-        .join(wanted, keys)
-        .filter((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("inside")))
-        .select(*keys, "rank_name", "rank", "below", "low", "high")
-    )
-    hits = F.broadcast(hits) if fixed_groups else hits
-    inside = counted.join(hits, keys).filter(F.col(value).between(F.col("low"), F.col("high")))
-    upto = Window.partitionBy(*keys, "rank_name").orderBy(value)
-    return (
-        inside.withColumn("last", F.col("below") + F.sum("weight").over(upto))
-        .filter((F.col("last") >= F.col("rank")) & (F.col("last") - F.col("weight") < F.col("rank")))
-        .select(*keys, "rank_name", "rank", F.col(value).alias("value_at"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    if ranks is None:
+        wanted = placed.withColumn("total", F.sum("n").over(whole)).select("*", F.inline(ends))
+    else:
+        asked = ranks.select(*[F.col(c).alias(f"_{c}") for c in groups], "rank_name", "rank")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
+        wanted = placed.join(asked, same).drop(*[f"_{c}" for c in groups])
+    inside = (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("n"))
+    kept = [c for c in groups if c != "prefix"]
+    extra = ["total"] if ranks is None else []
+    return wanted.filter(inside).select(
+        *kept, "rank_name", (F.col("rank") - F.col("below")).alias("rank"),
+        F.col("digit").alias("prefix"), "low", "high", *extra,
+    )
+
+
+def _digits(values: DataFrame, groups: list[str]) -> DataFrame:
+    return values.groupBy(*groups, "digit").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
 
 
-def exact_quantiles(
+def _kept(frame: DataFrame, name: str) -> DataFrame:
+    """A table of one row per group and wanted rank, written to the shared folder: the rounds above it
+    are not computed again."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def feature_quantiles(
     df: DataFrame,
     keys: list[str],
-    value: str,
+    features: list[str],
     probabilities: dict[str, float],
     fixed_groups: bool = False,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per group, one column per named probability."""
-    counted = count_values(df, keys, value)
-    sizes = counted.groupBy(*keys).agg(F.sum("weight").alias("n"))
+    """Linearly interpolated quantiles per group and feature, one column per named probability.
+
+    Four rounds at most, each one pass over the features that still have an open bracket. Nulls and
+    NaN are left out, and a feature of a group without other values has no row. With
+    ``fixed_groups`` the caller vouches that the number of groups is set by its arguments and not by
+    the data, so the open brackets (a row per group, feature and rank) may be broadcast; otherwise
+    adaptive execution decides by their measured size.
+    """
+    groups = [*keys, "feature"]
+
+    def coded(names: list[str]) -> DataFrame:
+        rows = long_values(df, names, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        return rows.withColumn("code", order_code(F.col("value")))
+
     ends = []
     for name, probability in probabilities.items():
-        position = (F.col("n") - 1) * F.lit(float(probability))
-        ends.append(
-            F.struct(F.lit(f"{name}.lo").alias("rank_name"), (F.floor(position) + 1).alias("rank"))
-        )
-        ends.append(
-            F.struct(F.lit(f"{name}.hi").alias("rank_name"), (F.ceil(position) + 1).alias("rank"))
-        )
-    wanted = sizes.select(*keys, F.inline(F.array(*ends)))
-    found = values_at_ranks(counted, wanted, keys, value, fixed_groups)
-
-    def at(rank_name: str):
-        return F.max(F.when(F.col("rank_name") == rank_name, F.col("value_at")))
+        position = (F.col("total") - 1) * F.lit(float(probability))
+        for end, function in (("lo", F.floor), ("hi", F.ceil)):
+            ends.append(F.struct(F.lit(f"{name}.{end}").alias("rank_name"), (function(position) + 1).alias("rank")))
+    shift = 64 - DIGIT_BITS
+    counted = _digits(coded(features).withColumn("digit", F.shiftright("code", shift)), groups)
+    found = _kept(_located(counted, groups, None, F.array(*ends)), "digits")
+    totals = found.select(*groups, "total").distinct()
+    done = [found.filter("low = high").drop("total")]
+    open_ = found.filter("low < high").drop("total")
+    while shift:
+        names = [r["feature"] for r in open_.select("feature").distinct().collect()]
+        if not names:
+            break
+        brackets = open_.select(*[F.col(c).alias(f"_{c}") for c in groups], "prefix").distinct()
+        brackets = F.broadcast(brackets) if fixed_groups else brackets
+        rows = coded(names).withColumn("_own", F.shiftright("code", shift))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
+        inside = rows.join(brackets, same & (F.col("_own") == F.col("prefix")))
+        shift -= DIGIT_BITS
+        counted = _digits(inside.withColumn("digit", F.shiftright("code", shift)), [*groups, "prefix"])
+        found = _kept(_located(counted, [*groups, "prefix"], open_, None), "digits")
+        done.append(found.filter("low = high"))
+        open_ = found.filter("low < high")
+    located = reduce(DataFrame.unionByName, done)
+
+    def at(rank_name: str) -> Column:
+        return F.max(F.when(F.col("rank_name") == rank_name, F.col("low")))
 
     columns = []
     for name in probabilities:
         columns += [at(f"{name}.lo").alias(f"{name}_lo"), at(f"{name}.hi").alias(f"{name}_hi")]
-    table = found.groupBy(*keys).agg(*columns).join(sizes, keys)
+    table = located.groupBy(*groups).agg(*columns)
+    sizes = totals.select(*[F.col(c).alias(f"_{c}") for c in groups], "total")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
     results = []
     for name, probability in probabilities.items():
-        position = (F.col("n") - 1) * F.lit(float(probability))
+        position = (F.col("total") - 1) * F.lit(float(probability))
         low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
         results.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return table.select(*keys, *results)
+    return table.join(sizes, same).select(*groups, *results)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probabilities: dict[str, float],
+    fixed_groups: bool = False,
+) -> DataFrame:
+    """Linearly interpolated quantiles of one column per group, one column per named probability."""
+    return feature_quantiles(df, keys, [value], probabilities, fixed_groups).drop("feature")
 
 
 def lowest_key_cut(df: DataFrame, by: str, key: str, quota) -> DataFrame:

@@ -5,19 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.operators.order_statistics import count_values, exact_quantiles
+from flowsieve.operators.order_statistics import exact_quantiles, feature_quantiles
+from flowsieve.operators.order_statistics import long_values as long_features
 from flowsieve.schema import NORMAL_LABEL, NUMERIC
 
 
-def long_features(df: DataFrame, features: list[str], keys: list[str]) -> DataFrame:
-    """One row per (row, feature): the keys, ``feature`` and ``value``."""
-    pairs = [
-        F.struct(F.lit(name).alias("feature"), F.col(name).cast("double").alias("value"))
-        for name in features
-    ]
-    return df.select(*keys, F.inline(F.array(*pairs)))
-
-
 def _moments(df: DataFrame, features: list[str], keys: list[str], parts: dict) -> DataFrame:
     """Per-column aggregates in one scan, turned into one row per (group, feature) afterwards."""
     wide = df.groupBy(*keys).agg(
@@ -44,9 +36,7 @@ def feature_summary(
     keys = list(keys)
     parts = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     moments = _moments(df, features, keys, parts)
-    medians = exact_quantiles(
-        long_features(df, features, keys), [*keys, "feature"], "value", {"median": 0.5}
-    )
+    medians = feature_quantiles(df, keys, features, {"median": 0.5})
     joined = moments.join(medians, [*keys, "feature"], "left")
     return joined.select(
         *keys,
@@ -77,13 +67,7 @@ def mean_differences(
 
 def _mean_and_median(df: DataFrame, key: str, features: list[str]) -> DataFrame:
     means = _moments(df, features, [key], {"mean": F.avg})
-    medians = exact_quantiles(
-        long_features(df, features, [key]),
-        [key, "feature"],
-        "value",
-        {"median": 0.5},
-        fixed_groups=True,
-    )
+    medians = feature_quantiles(df, [key], features, {"median": 0.5}, fixed_groups=True)
     return means.join(medians, [key, "feature"], "left").select(key, "feature", "mean", "median")
 
 
@@ -109,19 +93,17 @@ def feature_shift(
 def box_statistics(df: DataFrame, attack: str, features: list[str]) -> DataFrame:
     """Quartiles and whiskers (the extreme values within 1.5 interquartile ranges) of normal rows
     and of one attack type."""
-    values = long_features(
-        df.filter(F.col("label").isin(NORMAL_LABEL, attack)), features, ["label"]
-    )
+    chosen = df.filter(F.col("label").isin(NORMAL_LABEL, attack))
     keys = ["label", "feature"]
-    boxes = exact_quantiles(
-        values, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, fixed_groups=True
+    boxes = feature_quantiles(
+        chosen, ["label"], features, {"q1": 0.25, "median": 0.5, "q3": 0.75}, fixed_groups=True
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("value")
-    # Two populations times the listed features: a fixed, known number of rows. The whiskers only
-    # need distinct values, which the quantiles have already shuffled.
+    # Two populations times the listed features: a fixed, known number of rows.
     return (
-        count_values(values, keys, "value")
+        long_features(chosen, features, ["label"])
+        .filter(value.isNotNull() & ~F.isnan(value))
         .join(F.broadcast(boxes), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(

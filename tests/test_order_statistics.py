@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import re
 import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowsieve.ml.sampling import stratified_flag, stratified_split
 from flowsieve.operators import profile
-from flowsieve.operators.order_statistics import exact_quantiles
+from flowsieve.operators.order_statistics import _digits, exact_quantiles, feature_quantiles, order_code
 
 
 @pytest.fixture(scope="module")
@@ -93,9 +95,45 @@ def test_box_whiskers(spark):
     assert got["normal"]["median"] == 3.5 and got["a"]["whisker_high"] == 1.0
 
 
-def test_medians_are_not_collected_by_group(skewed):
-    """The plan sorts by range and never aggregates a group's values into one buffer."""
+def test_values_are_counted_and_neither_ordered_nor_gathered(spark, skewed):
+    """Only counts of digits are shuffled: no value is a grouping, ordering or partitioning key."""
     frame, _ = skewed
-    plan = exact_quantiles(frame, ["g"], "v", {"m": 0.5})._jdf.queryExecution().toString()
-    assert "rangepartitioning" in plan
-    assert "percentile" not in plan and "collect_list" not in plan
+    values = profile.long_features(frame, ["v"], ["g"]).withColumn("code", order_code(F.col("value")))
+    counted = _digits(values.withColumn("digit", F.shiftright("code", 48)), ["g", "feature"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "rangepartitioning" not in plan
+    assert re.search(r"partial_count", plan) and "percentile" not in plan and "collect_list" not in plan
+    assert all("value" not in keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+
+
+def test_codes_have_the_order_of_doubles(spark):
+    draw = np.random.default_rng(11)
+    bits = draw.integers(0, 2**63, 20_000, dtype=np.int64)
+    values = bits.view(np.float64)
+    values = values[np.isfinite(values)].tolist()
+    powers = [2.0**k for k in range(-1074, 1024)]
+    near = [np.nextafter(p, 0.0) for p in powers] + [np.nextafter(p, np.inf) for p in powers[:-1]]
+    values += powers + [float(v) for v in near] + [0.0, float("inf"), 5e-324, 2.2250738585072014e-308, 0.1, 0.2, 0.3]
+    values += [-v for v in values]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for v, code in frame.select("v", order_code(F.col("v")).alias("c")).collect():
+        own = int(np.abs(np.float64(v)).view(np.int64))
+        assert code == (-own if v < 0 else own)
+
+
+def test_one_group_of_a_million_distinct_values(spark):
+    n = 1_000_000
+    frame = spark.range(n).select(
+        F.lit(None).cast("string").alias("g"),
+        (F.pmod(F.col("id") * 7919, F.lit(n)).cast("double") / 1024 - 300).alias("v"),
+        F.lit(2.5).alias("w"),
+    )
+    got = {r["feature"]: r for r in feature_quantiles(frame, ["g"], ["v", "w"], {"m": 0.5, "q": 0.999}).collect()}
+    assert set(got) == {"v", "w"} and got["v"]["g"] is None
+    assert got["v"]["m"] == (n - 1) / 2 / 1024 - 300 and got["w"]["q"] == 2.5
+    assert got["v"]["q"] == pytest.approx((n - 1) * 0.999 / 1024 - 300, rel=1e-12)
+
+
+def test_quantiles_of_nothing(spark):
+    frame = spark.createDataFrame([("a", None), ("b", float("nan"))], "g string, v double")
+    assert feature_quantiles(frame, ["g"], ["v"], {"m": 0.5}).count() == 0
