@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from flowsieve.functions.ratios import safe_ratio
 from flowsieve.schema import ALERT_DECISIONS, ALERT_SCHEMA
 
 MAX_PAGE = 500
-RANGES = 64
-SAMPLE = 4096
+# As many alerts as one task ranks.
+RANKED = 100_000
 
 
 def with_alert_flag(scored: DataFrame) -> DataFrame:
@@ -46,53 +48,68 @@ def alert_page(
     alerts: DataFrame, limit: int = 50, offset: int = 0, decision: str | None = None
 ) -> DataFrame:
     """Newest alerts first, with each one's ``place`` among all, from 1. The order is total, so pages
-    neither overlap nor leave gaps.
+    neither overlap nor leave gaps."""
+    rows = filter_alerts(alerts, decision)
+    return newest_places(rows, limit, offset, 0, rows.count())
+
 
-    The alerts fall into ranges of that order, each range reports its size, and only the ranges the
-    page reaches into are ranked, each by its own task; the cost does not depend on the offset.
+def newest_places(rows: DataFrame, limit: int, offset: int, before: int, total: int) -> DataFrame:
+    """The page of ``rows``, which are ``total`` alerts in falling order behind ``before`` others.
+
+    Time and id are 64-bit numbers. Alerts are counted by the leading 16 bits of the time, those of
+    the digits the page reaches into by the next 16 bits, and so on through the id, until so few are
+    left that a task ranks them; the cost does not depend on the offset.
     """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    rows = filter_alerts(alerts, decision)
-    newest_first = [F.desc("created_at"), F.desc("id"), F.desc("flow_id")]
-    dealt = rows.withColumn("_range", _range_number(rows))
-    newer = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_inside"))
-    # One row per range, at most RANGES.
-    needed = sizes.withColumn("_before", F.coalesce(F.sum("_inside").over(newer), F.lit(0))).filter(
-        (F.col("_before") < offset + limit) & (F.col("_before") + F.col("_inside") > offset)
+    lowest = F.lit(-(1 << 63)).cast("bigint")
+    codes = [F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), lowest), F.coalesce("id", lowest)]
+    digits = [F.shiftright(code, shift) for code in codes for shift in (48, 32, 16, 0)]
+    last = min(offset + limit, before + total)
+    parts = _parts(rows, digits, offset, last, before, total) if offset < last else []
+    places = reduce(DataFrame.unionByName, parts) if parts else rows.filter("false").withColumn("place", F.lit(0))
+    return places.withColumn("place", F.col("place").cast("bigint")).orderBy("place")
+
+
+def _parts(rows: DataFrame, digits: list[Column], first: int, last: int, before: int, total: int) -> list[DataFrame]:
+    """Places ``first`` to ``last`` of ``rows``, as frames of few rows each."""
+    if total <= RANKED or not digits:
+        inside = F.row_number().over(Window.orderBy(F.desc("created_at"), F.desc("id"), F.desc("flow_id")))
+        placed = rows.withColumn("place", F.lit(before) + inside)
+        return [placed.filter(F.col("place").between(first + 1, last))]
+    counts = rows.groupBy(digits[0].alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+    # At most 2^16 digits; those the page lies in are as few as its alerts.
+    newer = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("digit")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    reached = counts.withColumn("above", newer + before).filter(
+        (F.col("above") < last) & (F.col("above") + F.col("n") > first)
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*newest_first))
-    return (
-        dealt.join(F.broadcast(needed), "_range")
-        .withColumn("_place", F.col("_before") + inside)
-        .filter(F.col("_place").between(offset + 1, offset + limit))
-        .orderBy("_place")
-        .select(*rows.columns, F.col("_place").alias("place"))
-    )
-
-
-def _range_number(rows: DataFrame) -> Column:
-    """Number of a row's range in the order of pages: the bounds of the table's sample above it.
-
-    The sample is the ``SAMPLE`` rows first by a hash, and its bounds are constants of the plan, so a
-    row has one range wherever the plan reads it. Any bounds give right pages; these give even
-    ranges.
-    """
-    parts = (F.col("created_at").cast("timestamp").alias("t"), F.col("id").alias("i"), F.col("flow_id").alias("f"))
-    sample = rows.orderBy(F.xxhash64("flow_id")).limit(SAMPLE).select(*parts)
-    keys = sorted((r for r in sample.collect() if None not in r), reverse=True)
-    bounds = keys[len(keys) // RANGES :: max(1, len(keys) // RANGES)][: RANGES - 1]
-    if not bounds:
-        return F.lit(0)
-    literals = [
-        F.struct(F.lit(b["t"]).cast("timestamp").alias("t"), F.lit(b["i"]).alias("i"), F.lit(b["f"]).alias("f"))
-        for b in bounds
-    ]
-    key = F.struct(*parts)
-    return F.size(F.filter(F.array(*literals), lambda bound: bound > key))
+    found, small = [], []
+    for row in reached.orderBy("above").collect():
+        if row["n"] > RANKED:
+            inside = rows.filter(digits[0] == row["digit"])
+            found += _parts(inside, digits[1:], first, min(last, row["above"] + row["n"]), row["above"], row["n"])
+        else:
+            small.append(row)
+    # Neighbouring small digits are ranked together.
+    for group in _neighbours(small):
+        inside = rows.filter(digits[0].between(group[-1]["digit"], group[0]["digit"]))
+        n = sum(r["n"] for r in group)
+        found += _parts(inside, [], first, last, group[0]["above"], n)
+    return found
+
+
+def _neighbours(found: list) -> list[list]:
+    """Runs of rows that follow each other without a gap, of at most ``RANKED`` alerts together."""
+    runs: list[list] = []
+    for row in found:
+        run = runs[-1] if runs else []
+        if run and run[-1]["above"] + run[-1]["n"] == row["above"] and sum(r["n"] for r in run) + row["n"] <= RANKED:
+            run.append(row)
+        else:
+            runs.append([row])
+    return runs
 
 
 def decision_statistics(decided: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from flowsieve.registry import (  # noqa: F401
     models,
     preparation,
     profiles,
+    streams,
 )
 from flowsieve.registry.core import QUERIES, SQL
 

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 from flowsieve.operators import alerts
 from flowsieve.registry.core import decided, only, over_flows, query, test_decisions
 from flowsieve.session import scratch_path
-from flowsieve.sources.alert_table import append_alerts, create_alert_table, read_alerts
+from flowsieve.sources.alert_table import (
+    alert_index,
+    append_alerts,
+    create_alert_table,
+    read_alerts,
+    stored_alert_count,
+    stored_alert_page,
+)
 from flowsieve.sources.tables import flows_from_lines, read_table, split_of
 from flowsieve.streaming.scoring import (
     latest_statistics,
@@ -28,6 +35,15 @@ def _alerts(spark, sf_dir):
     return alerts.alert_rows(test_decisions(spark, sf_dir), F.col("seen_at"))
 
 
+def _stored(spark, sf_dir):
+    """The alerts, stored by two writers; path of the table."""
+    path = scratch_path(spark, "alerts")
+    new = _alerts(spark, sf_dir)
+    append_alerts(new.filter("decision = 'ATTACK'"), path, "run-1", 0)
+    append_alerts(new.filter("decision <> 'ATTACK'"), path, "run-2", 0)
+    return path
+
+
 @query(over_flows("SELECT * FROM alerts", _ALERTS))
 def alert_rows(spark, sf_dir):
     return _alerts(spark, sf_dir)
@@ -74,7 +90,8 @@ FROM alerts QUALIFY place BETWEEN 101 AND 150""",
     )
 )
 def alert_page(spark, sf_dir):
-    return alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=100)
+    """A page of the stored table: located in its index, read from the days it lies in."""
+    return stored_alert_page(spark, _stored(spark, sf_dir), limit=50, offset=100)
 
 
 @query(
@@ -85,10 +102,33 @@ FROM alerts QUALIFY place BETWEEN 10501 AND 10550""",
     )
 )
 def deep_alert_page(spark, sf_dir):
-    """A page far from the newest alert."""
+    """A page far from the newest alert, of alerts that are not stored."""
     return alerts.alert_page(_alerts(spark, sf_dir), limit=50, offset=10_500)
 
 
+@query(
+    over_flows(
+        """SELECT * FROM (
+  SELECT *, row_number() OVER (ORDER BY created_at DESC, id DESC, flow_id DESC) AS place
+  FROM alerts WHERE decision = 'SUSPICIOUS')
+WHERE place > (SELECT count(*) FROM alerts WHERE decision = 'SUSPICIOUS') - 60""",
+        _ALERTS,
+    )
+)
+def last_stored_alerts(spark, sf_dir):
+    """The stored table's last page of one decision, whose place is read from the index."""
+    path = _stored(spark, sf_dir)
+    n = stored_alert_count(spark, path, "suspicious").first()["count"]
+    return stored_alert_page(spark, path, limit=60, offset=max(0, n - 60), decision="suspicious")
+
+
+@query(over_flows("SELECT decision, count(*) AS alerts FROM alerts GROUP BY decision", _ALERTS))
+def stored_alert_counts(spark, sf_dir):
+    """Alerts of each decision by the table's index."""
+    index = alert_index(spark, _stored(spark, sf_dir))
+    return index.groupBy("decision").agg(F.sum("alerts").alias("alerts"))
+
+
 _STATISTICS = """SELECT total_flows, attacks, normal, suspicious,
   round(coalesce(CAST(attacks AS DOUBLE) / nullif(total_flows, 0), 0.0) * 100, 2) AS attack_rate
 FROM (SELECT count(*) AS total_flows, count(*) FILTER (WHERE decision = 'ATTACK') AS attacks,

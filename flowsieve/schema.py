@@ -90,6 +90,7 @@ SCORE_FIELDS = [
     ("if_anomaly", "boolean"),
 ]
 # flow_id is the unique key; id is the numeric handle shown to readers.
+STREAMED_SCHEMA = _struct([("flow_id", "string"), *FLOW_FIELDS, *SCORE_FIELDS, ("batch_id", "bigint")])
 ALERT_SCHEMA = _struct(
     [
         ("id", "bigint"),

@@ -19,6 +19,8 @@ STATISTICS_SCHEMA = (
     "total_flows bigint, attacks bigint, normal bigint, suspicious bigint, attack_rate double, "
     "updated_at timestamp, batch_id bigint, writer_id string, slot int"
 )
+# What start_scoring stores of rejected records.
+REJECT_SCHEMA = "flow_id string, body string, invalid_fields array<string>, batch_id bigint"
 _WRITER_SCHEMA = StructType([StructField("value", StringType())])
 
 
@@ -106,9 +108,12 @@ def start_alerting(
     table: str,
     checkpoint: str,
     interval: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Append the alerts of every micro-batch to the alert table.
 
+    Streams over the same flows that share a ``ledger`` alert each flow once.
+
     The alert time is fixed before the sink, so a replayed batch carries the time of its first
     attempt, lands in the same partition and replaces itself.
     """
@@ -116,7 +121,7 @@ def start_alerting(
     writer_id = stream_writer_id(decided.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_alerts(batch, table, writer_id, batch_id)
+        append_alerts(batch, table, writer_id, batch_id, ledger)
 
     writer = alerts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     if interval:
