@@ -320,3 +320,72 @@ def stored_scored_rows(spark, sf_dir):
     path = scratch_path(spark, "scored")
     write_scored(only(test_decisions(spark, sf_dir), *_SCORED), path)
     return only(spark.read.parquet(path), *_SCORED)
+
+
+_ABSENT = ["service", "land", "dst_host_rerror_rate"]
+
+
+@query(
+    over_flows(
+        f"SELECT unnest({_ABSENT!r}) AS missing, count(*) AS flows FROM test"
+    )
+)
+def missing_features(spark, sf_dir):
+    """The features that the presence check names on flows without some columns, and the flows that
+    cannot be scored for it."""
+    frame = test_flows(spark, sf_dir).drop(*_ABSENT)
+    try:
+        checks.require_columns(frame)
+        named = []
+    except ValueError as error:
+        named = str(error).partition(": ")[2].split(", ")
+    rows = frame.agg(F.count(F.lit(1)).alias("flows"))
+    return rows.select(F.explode(F.array(*[F.lit(n) for n in named])).alias("missing"), "flows")
+
+
+_NUMBERS = [name for name in FEATURES if name not in ("protocol_type", "service", "flag")]
+
+
+@query(
+    over_flows(
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS feature, CAST(min(\"{name}\") AS DOUBLE) AS low, CAST(max(\"{name}\") AS DOUBLE) AS high FROM flows"
+            for name in _NUMBERS
+        )
+    )
+)
+def numeric_feature_ranges(spark, sf_dir):
+    """The features that are not categories, each with its range."""
+    names = checks.numeric_columns(FEATURES)
+    frame = flows(spark, sf_dir)
+    ends = frame.agg(
+        *[F.min(n).cast("double").alias(f"{n}|low") for n in names],
+        *[F.max(n).cast("double").alias(f"{n}|high") for n in names],
+    )
+    rows = [
+        F.struct(F.lit(n).alias("feature"), F.col(f"`{n}|low`").alias("low"), F.col(f"`{n}|high`").alias("high"))
+        for n in names
+    ]
+    return ends.select(F.inline(F.array(*rows)))
+
+
+@query(
+    over_flows(
+        """SELECT 'label' AS chosen, label AS value, count(*) AS samples FROM test GROUP BY label
+UNION ALL
+SELECT 'target', CAST(target AS VARCHAR), count(*) FROM test GROUP BY target"""
+    )
+)
+def chosen_column_counts(spark, sf_dir):
+    """Value counts of the first candidate column a frame has, with the label and without it."""
+    candidates = ["attack_type", "label", "target"]
+    frame = test_flows(spark, sf_dir)
+    counted = []
+    for rows in (frame, frame.drop("label")):
+        name = checks.first_present(rows, candidates)
+        counted.append(
+            rows.groupBy(F.lit(name).alias("chosen"), F.col(name).cast("string").alias("value")).agg(
+                F.count(F.lit(1)).alias("samples")
+            )
+        )
+    return counted[0].unionByName(counted[1])

@@ -30,6 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def share_checkpoints(spark: SparkSession) -> None:
+    """Let Spark's own checkpoints go to the shared folder, unless they have a folder already."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty() and spark.conf.get("spark.checkpoint.dir", None):
+        context.setCheckpointDir(f"{shared_folder(spark).rstrip('/')}/flowsieve/checkpoints")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, unique to this call."""
     return f"{shared_folder(spark).rstrip('/')}/flowsieve/{name}-{uuid.uuid4().hex}"
