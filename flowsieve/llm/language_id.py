@@ -3,9 +3,10 @@
 Each language has a model of order 4 over the letters of words, lower-cased, with a word start and
 a word end. Every training text is counted: tasks count distinct words, then the words' n-grams.
 Discounts, continuation counts and back-off weights are Spark aggregations over the n-gram table.
-The finished tables are folded into ``2 ** bits`` hash slots, which bounds what is gathered and
-sent to the tasks whatever the corpus, and held as sorted hash arrays. A text gets the language of
-the lowest cross-entropy per character; rejection is calibrated on training texts.
+The finished tables hold every n-gram under its own 64-bit key, so they grow with the corpus. Up to
+``MOST_VALUES`` values they are sent to the tasks as sorted arrays; above, the n-grams of the distinct
+words of the texts meet them in joins, with the same result. A text gets the language of the lowest
+cross-entropy per character; rejection is calibrated on texts that a second count leaves out.
 """
 
 from __future__ import annotations
@@ -25,15 +26,17 @@ from pyspark.sql import functions as F
 from flowsieve.llm.common import stored
 
 ORDER = 4
-BITS = 20
+# Values of 14 bytes or less, keys of 12: some 150 MB in the driver and in a task at most.
+MOST_VALUES = 6_000_000
 CALIBRATION = 2000
+LEFT_OUT = 10
 REJECT_DEVIATIONS = 6.0
 UNKNOWN = "und"
 SYMBOLS = 65536.0
 KNOWN_WORDS = 150_000
 SLICE = 256
+FREQUENT_WORDS = 50_000
 LETTERS = re.compile(r"[^\W\d_]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def text_words(text: str | None) -> list[str]:
@@ -62,10 +65,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            by_lang: dict[str, Counter] = {}
-            for text, lang in zip(part.column(0), part.column(1).to_pylist()):
-                by_lang.setdefault(lang, Counter()).update(text_words(text.as_py()))
-            for lang, words in by_lang.items():
+            by_kind: dict[tuple, Counter] = {}
+            for text, *kind in zip(part.column(0), part.column(1).to_pylist(), part.column(2).to_pylist()):
+                by_kind.setdefault(tuple(kind), Counter()).update(text_words(text.as_py()))
+            for (lang, left_out), words in by_kind.items():
                 grams, word = word_grams(list(words))
                 if not len(grams):
                     continue
@@ -73,39 +76,26 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found, inverse = np.unique(grams, return_inverse=True)
                 n = np.bincount(inverse, weights=weights).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found)), pa.array(found.view(np.int64)), pa.array(n)],
-                    ["lang", "gram", "n"],
-                )
-
-
-def gram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, gram (packed), n over whole texts; rows without text or language are left out."""
-    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
-    found = rows.mapInArrow(_counts, "lang string, gram bigint, n bigint")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def slot(grams: np.ndarray, bits: int) -> np.ndarray:
-    """Hash slots of packed n-grams."""
-    mixed = grams * _MIX
-    mixed ^= mixed >> np.uint64(32)
-    return ((mixed * _MIX) >> np.uint64(64 - bits)).astype(np.uint32)
-
-
-def _folding(bits: int):
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = batch.column(2).to_numpy().view(np.uint64)
-            keys = pa.array(slot(grams, bits).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), keys, batch.column(3)],
-                ["table", "lang", "key", "value"],
-            )
-
-    return fold
-
-
-def model_tables(counts: DataFrame, languages: list[str], bits: int = BITS) -> DataFrame:
+                    [
+                        pa.array([lang] * len(found)), pa.array(found.view(np.int64)),
+                        pa.array(n), pa.array(n * (not left_out)),
+                    ],
+                    ["lang", "gram", "n", "rest"],
+                )
+
+
+def gram_counts(
+    docs: DataFrame, text: str = "text", lang: str = "lang", left_out: Column | None = None
+) -> DataFrame:
+    """lang, gram (packed), n over whole texts, and rest over those that ``left_out`` does not mark;
+    rows without text or language play no part."""
+    mark = F.lit(False) if left_out is None else F.coalesce(left_out, F.lit(False))
+    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang, mark.alias("_out"))
+    found = rows.mapInArrow(_counts, "lang string, gram bigint, n bigint, rest bigint")
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
+
+
+def model_tables(counts: DataFrame, languages: list[str]) -> DataFrame:
     """table, lang (place in ``languages``), key, value of all interpolated Kneser-Ney tables.
 
     Table ``2 * order`` is the discounted relative frequency of an n-gram, the next one the weight
@@ -144,45 +134,61 @@ def model_tables(counts: DataFrame, languages: list[str], bits: int = BITS) -> D
     frequency = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
     left = F.col("d") * F.col("kinds") / F.col("total")
     table = rows(joined, 0, "gram", frequency).unionByName(rows(totals, 1, "context", left))
-    folded = table.mapInArrow(
-        _folding(bits), "table tinyint, lang smallint, key int, value double"
-    )
-    return folded.groupBy("table", "lang", "key").agg(F.sum("value").cast("float").alias("value"))
+    return table.select("table", "lang", F.col("gram").alias("key"), F.col("value").cast("float"))
+
+
+class GramTable:
+    """Sorted n-gram keys and, of each, the languages that have it with their values."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, value: np.ndarray, default: float):
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        self.keys = key[first]
+        self.starts = np.append(first, len(key)).astype(np.int64)
+        self.lang, self.value = lang[order].astype(np.int16), np.minimum(value[order], 1.0).astype(np.float32)
+        self.default = np.float32(default)
+
+    def find(self, grams: np.ndarray, languages: int) -> np.ndarray:
+        """A row per n-gram and a column per language; the default where the two were not met."""
+        out = np.full((len(grams), languages), self.default)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+            rows = np.flatnonzero(self.keys[at] == grams)
+            low, high = self.starts[at[rows]], self.starts[at[rows] + 1]
+            n = high - low
+            entries = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else low
+            out[np.repeat(rows, n), self.lang[entries]] = self.value[entries]
+        return out
 
 
 @dataclass
 class CharacterModels:
-    """The models of all languages: per order and kind, sorted hash keys and a row per key with a
-    value per language."""
+    """The models of all languages: a table per order and kind, or the stored tables where these have
+    too many values to be sent."""
 
     languages: list[str]
-    bits: int
     tables: dict = field(default_factory=dict)
     limits: dict = field(default_factory=dict)
     sharpness: float = 1.0
+    stored: DataFrame | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "stored": None}
 
     @staticmethod
-    def gathered(rows: DataFrame, languages: list[str], bits: int = BITS) -> CharacterModels:
-        """From the folded tables: at most 8 tables of ``2 ** bits`` keys, whatever the corpus, in
-        eleven bytes a value."""
-        model = CharacterModels(languages, bits)
+    def gathered(rows: DataFrame, languages: list[str]) -> CharacterModels:
+        """From the stored tables, if they have at most ``MOST_VALUES`` values."""
+        if rows.count() > MOST_VALUES:
+            return CharacterModels(languages, stored=rows)
+        model = CharacterModels(languages)
         for number in range(2, 2 * ORDER + 2):
             part = rows.filter(F.col("table") == number).select("lang", "key", "value").toArrow()
             lang, key, value = (part.column(c).to_numpy() for c in ("lang", "key", "value"))
-            keys, at = np.unique(key.astype(np.uint32), return_inverse=True)
-            values = np.full((len(keys), len(languages)), float(number % 2), np.float32)
-            values[at, lang] = np.minimum(value, 1.0)
-            model.tables[number] = keys, values
+            # An n-gram that was not met has no count and leaves all to the lower order.
+            model.tables[number] = GramTable(key.view(np.uint64), lang, value, number % 2)
         return model
 
-    def _find(self, table: int, grams: np.ndarray) -> np.ndarray:
-        """Values of each n-gram; one that was not met has no count and leaves all to the lower
-        order."""
-        keys, values = self.tables[table]
-        wanted = slot(grams, self.bits)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where((keys[at] == wanted)[:, None], values[at], np.float32(table % 2))
-
     def word_bits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Bits each language needs for each word, and the number of characters coded."""
         grams, word = word_grams(words)
@@ -191,7 +197,8 @@ class CharacterModels:
         for order in range(1, ORDER + 1):
             gram = distinct & np.uint64((1 << (16 * order)) - 1)
             context = gram >> np.uint64(16)
-            p = self._find(2 * order, gram) + self._find(2 * order + 1, context) * p
+            found = (self.tables[2 * order + k].find(g, len(self.languages)) for k, g in enumerate((gram, context)))
+            p = next(found) + next(found) * p
         bits = -np.log2(np.maximum(p, 1e-30))[inverse]
         n = len(words)
         total = np.stack([np.bincount(word, bits[:, i], n) for i in range(bits.shape[1])], axis=1)
@@ -229,8 +236,9 @@ class _WordMemory:
         if len(self.place) + len(new) > KNOWN_WORDS and self.place:
             self.forget()
             new = list({w for words in texts for w in words})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        step = max(500, 80_000 // len(self.models.languages))
+        for at in range(0, len(new), step):
+            part = new[at : at + step]
             bits, coded = self.models.word_bits(part)
             self.place.update(zip(part, range(len(self.place), len(self.place) + len(part))))
             self.bits = np.concatenate((self.bits, bits))
@@ -258,6 +266,7 @@ def _entropies(shared, emit):
                 entropy = bits / np.maximum(coded, 1)[:, None]
                 columns, names = emit(models, part, entropy, coded)
                 yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
     return score
 
@@ -283,41 +292,132 @@ def _emit_entropies(models, part, entropy, coded):
     return [part.column(1), values, pa.array(coded.astype(np.int64))], ["lang", "entropy", "coded"]
 
 
+def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            ids, words, counts = [], [], []
+            part = batch.slice(at, SLICE)
+            for key, text in zip(part.column(0).to_pylist(), part.column(1)):
+                found = Counter(text_words(text.as_py()))
+                ids += [key] * len(found)
+                words += found.keys()
+                counts += found.values()
+            columns = [pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "word", "n"])
+
+
+def _words_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 10_000):
+            words = batch.column(0).slice(at, 10_000)
+            grams, word = word_grams(words.to_pylist())
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(word)), pa.array(grams.view(np.int64))], ["word", "gram"])
+
+
+def joined_entropies(texts: DataFrame, tables: DataFrame, languages: list[str]) -> DataFrame:
+    """id, entropy (a cross-entropy per language), coded for every text (id, text) with a letter: as
+    ``CharacterModels`` has them, by joins with the stored tables.
+
+    Probabilities are worked out once for each distinct n-gram of the distinct words, order by order;
+    an n-gram or context meets at most 65,536 others there. The most frequent words, a fixed number of
+    them, are sent to the texts; the others meet the texts by word.
+    """
+    words = stored(texts.mapInArrow(_document_words, "id bigint, word string, n bigint"), "document-words")
+    distinct = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    grams = distinct.select("word").mapInArrow(_words_grams, "word string, gram bigint")
+    grams = stored(grams.groupBy("word", "gram").agg(F.count(F.lit(1)).alias("k")), "word-grams")
+    known = grams.select("gram").distinct()
+    places = range(len(languages))
+
+    def table(number: int, name: str) -> DataFrame:
+        default = F.lit(float(number % 2))
+        value = [F.coalesce(F.max(F.when(F.col("lang") == i, F.least("value", F.lit(1.0).cast("float")))), default) for i in places]
+        found = tables.filter(F.col("table") == number).groupBy("key")
+        return found.agg(F.array(*[v.cast("double") for v in value]).alias(name))
+
+    def filled(name: str, number: int) -> Column:
+        return F.coalesce(F.col(name), F.array(*[F.lit(float(number % 2)) for _ in places]))
+
+    p = None
+    for order in range(1, ORDER + 1):
+        mask = (1 << (16 * order)) - 1
+        own = known if order == ORDER else known.select(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).distinct()
+        keyed = own.select(
+            "gram", F.shiftrightunsigned("gram", 16).alias("_context"),
+            F.col("gram").bitwiseAND(F.lit((1 << (16 * (order - 1))) - 1)).alias("_suffix"),
+        )
+        met = keyed.join(table(2 * order, "_f").withColumnRenamed("key", "gram"), "gram", "left")
+        met = met.join(table(2 * order + 1, "_c").withColumnRenamed("key", "_context"), "_context", "left")
+        lower = F.array(*[F.lit(1.0 / SYMBOLS) for _ in places])
+        if p is not None:
+            met = met.join(p.select(F.col("gram").alias("_suffix"), F.col("p").alias("_p")), "_suffix")
+            lower = F.col("_p")
+        left = F.zip_with(filled("_c", 2 * order + 1), lower, lambda c, q: c * q)
+        own_p = F.zip_with(filled("_f", 2 * order), left, lambda f, q: f + q)
+        p = stored(met.select("gram", own_p.alias("p")), f"probabilities-{order}")
+    bits = F.transform("p", lambda q: -F.log2(F.greatest(q, F.lit(1e-30))))
+    by_word = grams.join(p.select("gram", bits.alias("bits")), "gram").groupBy("word").agg(
+        F.array(*[F.sum(F.col("bits")[i] * F.col("k")) for i in places]).alias("bits"), F.sum("k").alias("coded")
+    )
+    by_word = stored(distinct.join(by_word, "word"), "word-bits")
+    frequent = by_word.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).select("word", "bits", "coded")
+    frequent = F.broadcast(stored(frequent, "frequent-words"))
+    sent = words.join(frequent, "word")
+    others = words.join(frequent, "word", "left_anti").join(by_word.drop("n"), "word")
+    totals = sent.unionByName(others).groupBy("id").agg(
+        F.array(*[F.sum(F.col("bits")[i] * F.col("n")) for i in places]).alias("bits"),
+        F.sum(F.col("coded") * F.col("n")).alias("coded"),
+    )
+    return totals.select("id", F.transform("bits", lambda b: b / F.col("coded")).alias("entropy"), "coded")
+
+
+def _numbered(texts: DataFrame) -> DataFrame:
+    """The rows with an ``_id``, stored: a number once given stays."""
+    return stored(texts.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+
+
 def fit(
     docs: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    bits: int = BITS,
     calibration: int = CALIBRATION,
 ) -> CharacterModels | None:
     """Models of every language in ``docs``, counted over all its texts; None if it has none.
 
-    ``calibration`` is the number of texts of each language, chosen by a hash of their doc_id, whose
-    cross-entropies calibrate rejection and score; it does not grow with the corpus.
+    Rejection and score are calibrated on a tenth of each language's texts, ``calibration`` at most,
+    chosen by a hash of their doc_id: their cross-entropies are those of models that are counted
+    without them, as for texts the models have not seen.
     """
-    counts = stored(gram_counts(docs, text, lang), "gram-counts")
+    labelled = docs.filter(F.col(lang).isNotNull()).select("doc_id", text, lang)
+    # A row per language.
+    sizes = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
+    # A row-local choice, however large the language.
+    place = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    wanted = F.least(F.lit(float(calibration)), F.greatest(F.lit(1.0), F.col("_n") / LEFT_OUT))
+    marked = labelled.join(F.broadcast(sizes), lang).withColumn("_left_out", place < wanted / F.col("_n"))
+    counts = stored(gram_counts(marked, text, lang, F.col("_left_out")), "gram-counts")
     if counts.isEmpty():
         return None
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    tables = stored(model_tables(counts, languages, bits), "models")
-    models = CharacterModels.gathered(tables, languages, bits)
-    # Each language keeps the share of its documents that gives ``calibration`` of them, by a hash
-    # of the doc_id: a row-local choice, however large the language.
-    labelled = docs.filter(F.col(lang).isNotNull())
-    sizes = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
-    place = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = (
-        labelled.select("doc_id", text, lang)
-        .join(F.broadcast(sizes), lang)
-        .filter(place < calibration / F.col("_n"))
-        .select(text, lang)
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    models = CharacterModels.gathered(stored(model_tables(counts, languages), "models"), languages)
+    rest = counts.filter("rest > 0").select("lang", "gram", F.col("rest").alias("n"))
+    trial = CharacterModels.gathered(stored(model_tables(rest, languages), "trial-models"), languages)
+    _calibrate(models, _sample_entropies(marked.filter("_left_out").select(text, lang), trial))
+    return models
+
+
+def _sample_entropies(sample: DataFrame, models: CharacterModels):
+    """lang, entropy, coded of the calibration texts: bounded by their number, which is a parameter."""
+    if models.stored is not None:
+        rows = _numbered(sample.toDF("text", "lang"))
+        found = joined_entropies(rows.select(F.col("_id").alias("id"), "text"), models.stored, models.languages)
+        return rows.join(found, F.col("_id") == F.col("id")).select("lang", "entropy", "coded").toPandas()
+    shared = sample.sparkSession.sparkContext.broadcast(models)
     rows = sample.mapInArrow(
         _entropies(shared, _emit_entropies), "lang string, entropy array<double>, coded bigint"
     ).toPandas()
-    _calibrate(models, rows)
-    return models
+    shared.destroy()
+    return rows
 
 
 def _calibrate(models: CharacterModels, rows) -> None:
@@ -363,8 +463,34 @@ def identify(docs: DataFrame, models: CharacterModels | None, text: str = "text"
         )
     rows = docs.select(F.col(f"`{text}`").alias("_body"), *own)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    if models.stored is not None:
+        return _identified_by_joins(rows, models, kinds)
     shared = docs.sparkSession.sparkContext.broadcast(models)
     return rows.mapInArrow(
         _entropies(shared, _emit_decisions),
         f"{kinds}, lang_pred string, score double, cross_entropy double, rejected boolean",
     )
+
+
+def _identified_by_joins(rows: DataFrame, models: CharacterModels, kinds: str) -> DataFrame:
+    """``rows`` (_body and the columns that stay) with their decisions, by ``joined_entropies``."""
+    numbered = _numbered(rows)
+    found = joined_entropies(
+        numbered.select(F.col("_id").alias("id"), F.col("_body").alias("text")), models.stored, models.languages
+    )
+    kept = [F.col(f"`{c}`") for c in rows.columns if c != "_body"]
+    met = numbered.drop("_body").join(found, F.col("_id") == F.col("id"), "left").select("entropy", "coded", *kept)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = [math.inf] * len(models.languages)
+        for batch in batches:
+            entropy = np.array([e or none for e in batch.column(0).to_pylist()]).reshape(batch.num_rows, len(none))
+            coded = np.array([c or 0 for c in batch.column(1).to_pylist()], np.int64)
+            entropy[coded == 0] = 0.0
+            rest = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:])
+            columns, names = _emit_decisions(models, rest, entropy, coded)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return met.mapInArrow(
+        decide, f"{kinds}, lang_pred string, score double, cross_entropy double, rejected boolean"
+    )

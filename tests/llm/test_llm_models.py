@@ -197,8 +197,8 @@ def test_models_equal_plain_kneser_ney(spark):
     docs = bilingual(spark)
     counts = language_id.gram_counts(docs)
     languages = ["de", "en"]
-    tables = language_id.model_tables(counts, languages, 30)
-    model = language_id.CharacterModels.gathered(tables, languages, 30)
+    tables = language_id.model_tables(counts, languages)
+    model = language_id.CharacterModels.gathered(tables, languages)
     for place, lang in enumerate(model.languages):
         words = [w for r in docs.filter(F.col("lang") == lang).collect() for w in r.text.split()]
         p = plain_kneser_ney(words)
@@ -230,6 +230,51 @@ def test_language_of_odd_texts(spark):
     assert language_id.fit(none) is None and language_id.identify(none, None).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [3, 50_000])
+def test_joins_give_what_the_sent_tables_give(spark, monkeypatch, frequent):
+    odd = [(900, None, None, *"xxxx"), (None, "zq", None, *"xxxx"), (901, "𝄞𝄞 日本 der", None, *"xxxx"), (901, "12", None, *"xxxx")]
+    docs = bilingual(spark, odd)
+    columns = ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"]
+    sent = language_id.identify(docs, language_id.fit(docs)).select(columns).collect()
+    monkeypatch.setattr(language_id, "MOST_VALUES", 10)
+    monkeypatch.setattr(language_id, "FREQUENT_WORDS", frequent)
+    models = language_id.fit(docs)
+    assert models.stored is not None and not models.tables
+    joined = language_id.identify(docs, models).select(columns).collect()
+    order = lambda r: (r.doc_id is None, r.doc_id or 0, r.cross_entropy or 0)
+    for a, b in zip(sorted(sent, key=order), sorted(joined, key=order), strict=True):
+        assert (a.doc_id, a.lang_pred, a.rejected) == (b.doc_id, b.lang_pred, b.rejected)
+        assert a.score == pytest.approx(b.score, rel=1e-5)
+        assert (a.cross_entropy is None) == (b.cross_entropy is None)
+        assert (a.cross_entropy or 0) == pytest.approx(b.cross_entropy or 0, rel=1e-5)
+
+
+def test_many_ngrams_and_languages_keep_their_own_values(spark):
+    """No two n-grams share a value, however many there are: entropies equal the plain model's, and
+    a hundred languages take the bytes of what they hold."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(100):
+        letters = [chr(0x4E00 + int(c)) for c in rng.integers(0, 20_000, 60)]
+        for j in range(12):
+            rows.append((i * 12 + j, " ".join("".join(rng.choice(letters, 5)) for _ in range(30)), f"l{i:02d}", *"xxxx"))
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    models = language_id.fit(docs)
+    assert len(models.languages) == 100
+    values = sum(len(t.value) for t in models.tables.values())
+    assert sum(a.nbytes for t in models.tables.values() for a in (t.keys, t.starts, t.lang, t.value)) <= 22 * values + 64
+    found = language_id.identify(docs, models).filter("lang = lang_pred and not rejected").count()
+    assert found >= 0.99 * len(rows)
+    for lang in ("l07", "l93"):
+        words = [w for r in rows if r[2] == lang for w in r[1].split()]
+        p = plain_kneser_ney(words)
+        for word in (words[0], rows[0][1].split()[0]):
+            line = "\0\0 " + word + " "
+            bits = -sum(math.log2(p(line[i - 3 : i + 1])) for i in range(3, len(line)))
+            got, _ = models.word_bits([word])
+            assert math.isclose(got[0, models.languages.index(lang)], bits, rel_tol=1e-4)
+
+
 def test_held_out_language_accuracy(spark, sf_dir):
     found = QUERIES["op9_kneser_ney_language"](spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
