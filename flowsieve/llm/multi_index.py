@@ -317,13 +317,15 @@ def nearest_neighbours(
     meets ``is_query`` (a condition on ``id``), against all other rows.
 
     Rows with a null key, or a null, zero, non-finite, incomplete or odd-length vector, take no
-    part. Rows that repeat a key are the same item. An empty table gives an empty table.
+    part. Rows that repeat a key are one item, with the smallest of their vectors. An empty table gives
+    an empty table.
     """
-    rows = stored(usable(vectors, column, key).dropDuplicates(["id", "vector"]), "vectors")
+    rows = stored(usable(vectors, column, key).groupBy("id").agg(F.min("vector").alias("vector")), "vectors")
     index, placed = build(folded(rows, top), **options)
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if index is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    queries = rows.filter(is_query).repartition(F.xxhash64("id"))
+    queries = rows.filter(is_query)
+    queries = queries.repartition(max(1, -(-queries.count() // BUNDLE)), "id")
     found = search(queries, index, placed, top)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
