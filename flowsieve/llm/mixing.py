@@ -141,16 +141,18 @@ def mix(
     interchangeable. Reruns give the same rows. An empty table gives an empty table. An input column
     with an output's name is replaced.
 
-    A window task holds one shard of one source, never a source.
+    A window task holds one shard of one source, never a source; only the list of sources, a row each,
+    is looked at in one task.
     """
     length = F.col(f"`{size}`") if size else word_count(F.col(f"`{text}`"))
+    # Rows without a doc_id are dealt to the shards by their size.
+    key = F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("-"), F.col("size").cast("string")))
     rows = docs.select(
         row_struct(docs),
         F.col("doc_id").alias("_id"),
         F.col("source").alias("_source"),
         F.coalesce(length, F.lit(0)).cast("bigint").alias("size"),
-        _digest(F.lit(seed), F.col("doc_id")).alias("_order"),
-    )
+    ).withColumn("_order", _digest(F.lit(seed), key))
     targets = stored(
         source_targets(rows.select(F.col("_source").alias("source"), "size"), weights, share, most),
         "targets",
