@@ -63,7 +63,7 @@ def op1_inverted_multi_index(spark, sf_dir):
 WITH sized AS (
   SELECT doc_id, source,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS ord
+    md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '-' || CAST(size AS VARCHAR))) AS ord
   FROM documents
 ),
 sources AS (
@@ -143,11 +143,14 @@ def op3_virtual_slots(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     narrow = docs.select(
-        "doc_id", slots.text_size(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32")
-    )
+        "doc_id", slots.text_size(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32"),
+        # Rows without a doc_id get a number, which is stored with them.
+        F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("_nth"),
+    )
     sharded = slots.shard_documents(
-        stored(narrow, "sizes"), 16, scratch_path(spark, "slot-map"), size="size"
-    )
+        stored(narrow, "sizes"), 16, scratch_path(spark, "slot-map"), size="size",
+        keys=["doc_id", "text_crc32", "_nth"],
+    )
     return sharded.select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot"
     )

@@ -146,6 +146,7 @@ def shard_documents(
     slots: int = SLOTS,
     text: str = "text",
     size: str | None = None,
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` with size, law, shard, slot, grown_shard and virtual_slot.
 
@@ -154,12 +155,19 @@ def shard_documents(
     places them. ``size`` names a column that already holds the sizes. Null keys and texts count as
     empty; an empty table gives an empty table and still a full map. An input column with an
     output's name is replaced.
+
+    A record's key is its doc_id and the checksum of its text, so that rows without a doc_id, or of
+    one, spread over the slots; or what the columns ``keys`` hold. Rows of one key share a slot.
     """
     spark = docs.sparkSession
+    own = [F.col(f"`{k}`") for k in keys or ["doc_id"]]
+    if not keys:
+        own.append(F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+    named = F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in own])
     sized = docs.select(
         row_struct(docs),
         F.col("doc_id").alias("_key"),
-        hash_slot(F.col("doc_id"), slots).alias("virtual_slot"),
+        hash_slot(named, slots).alias("virtual_slot"),
         (F.col(f"`{size}`") if size else text_size(F.col(f"`{text}`"))).alias("size"),
     )
     loads = stored(slot_bytes(sized.select("virtual_slot", "size"), slots), "slot-bytes")

@@ -56,6 +56,11 @@ def test_few_and_unusable_vectors(spark):
     assert got == {20: [(1, 1.0), (2, 1.0), (40, 0.5)], 40: [(1, 0.5), (2, 0.5), (20, 0.5)]}
     none = spark.createDataFrame([], VECTORS)
     assert multi_index.nearest_neighbours(none, F.col("id") % 20 == 0).count() == 0
+    # A key with several vectors is one item, with the smallest of them, as query and as candidate.
+    several = [(20, [2.0, 0.0]), (20, [1.0, 0.0]), (7, [0.0, 9.0]), (7, [3.0, 1.0]), (8, [1.0, 1.0])]
+    frame = spark.createDataFrame([(*r, "x", "x", "x") for r in several], VECTORS)
+    found = multi_index.nearest_neighbours(frame, F.col("id") % 20 == 0, top=3).orderBy("rank")
+    assert [(r.query_id, r.vec_id, r.score) for r in found.collect()] == [(20, 8, 1.0), (20, 7, 0.0)]
 
 
 def test_equal_vectors_do_not_crowd_out_others(spark):

@@ -237,6 +237,22 @@ def test_shards_are_even_and_places_gapless(spark, tmp_path, awkward, nothing, s
     assert slots.shard_documents(nothing, 4, str(tmp_path / "map2")).count() == 0
 
 
+def test_rows_without_an_id_spread_over_the_slots(spark, documents, tmp_path):
+    rows = documents.select(F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 40).alias("doc_id"), "text")
+    rows.unionByName(rows.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = QUERIES["op3_virtual_slots"](spark, str(tmp_path)).toPandas()
+    rows_a_slot = found.groupby("virtual_slot").size()
+    assert len(found) == 2 * documents.count() and rows_a_slot.max() <= 10
+    sizes = found.groupby("shard")["size"].sum()
+    largest = found.groupby("virtual_slot")["size"].sum().max()
+    assert sizes.max() - sizes.min() <= largest
+    mixed = mixing.mix(rows.withColumn("source", F.lit("s")))
+    shard = F.pmod(F.xxhash64("size"), F.lit(2))
+    assert mixed.filter("doc_id is null and taken > 0").select(shard).distinct().count() == 2
+
+
 def test_map_versions_move_few_slots(spark):
     loads = spark.range(64).select(
         F.col("id").cast("int").alias("virtual_slot"), (F.col("id") * 7 % 13 * 100 + 1).alias("bytes")
