@@ -28,6 +28,8 @@ WIDTH = PATH_WIDTH + WORD_WIDTH + PLAIN
 HIDDEN = 20
 TRAIN_PAGES = 400
 TRAIN_BLOCKS = 400
+# Elements nest no deeper; those inside the deepest are read as if they stood beside each other in it.
+DEPTH = 128
 EPOCHS = 12
 BATCH = 32
 SEED = 7
@@ -38,14 +40,16 @@ INLINE = set(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TEXT = set("script style template noscript iframe object svg math".split())
+RAW_TEXT = set("script style template".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
     "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
 LISTS = set("ul ol dl table select".split())
 # Fixed: names by which pages mark regions that are not the article.
-ASIDE_TAGS = set("nav footer aside form button select textarea dialog menu head title".split())
+ASIDE_TAGS = set(
+    "nav footer aside form button select textarea dialog menu head title noscript iframe object svg".split()
+)
 ASIDE_NAMES = set(
     "ad ads advert adverts advertisement sponsor sponsored promo banner sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs header footer cookie cookies consent notice notices popup "
@@ -54,13 +58,67 @@ ASIDE_NAMES = set(
 )
 BODY_NAMES = set("article main content post entry story".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_TAG_STOP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-zA-Z]+")
 
 
+class _Tags:
+    """The tags of a page from left to right, in time that grows with its length: whatever is looked
+    for in vain is not looked for again."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = {mark: source.rfind(mark) for mark in ("-->", ">", '"', "'")}
+        self.unclosed: set[str] = set()
+
+    def _find(self, mark: str, at: int) -> int:
+        return self.source.find(mark, at) if at <= self.last[mark] else -1
+
+    def next(self, position: int):
+        """Start and end of the next tag, whether it is an end tag, its name (None for a comment or
+        declaration) and its attributes; None at the end."""
+        source, start = self.source, position
+        while (start := source.find("<", start)) >= 0:
+            if source.startswith(("<!", "<?"), start):
+                mark = "-->" if source.startswith("<!--", start) else ">"
+                end = self._find(mark, start + 2)
+                return start, len(source) if end < 0 else end + len(mark), False, None, ""
+            name = _TAG_NAME.match(source, start)
+            if name:
+                end = self._tag_end(name.end())
+                if end < 0:  # cut off within a tag, which is then no text
+                    return start, len(source), False, None, ""
+                return start, end + 1, bool(name[1]), name[2].lower(), source[name.end() : end]
+            start += 1
+        return None
+
+    def _tag_end(self, at: int) -> int:
+        """Where a tag's > is. A quote opens a value only behind an equals sign; one that is never closed
+        ends at the next >."""
+        while stop := _TAG_STOP.search(self.source, at) if at <= self.last[">"] else None:
+            if stop[0] == ">":
+                return stop.start()
+            at = stop.end()
+            if self.source[max(0, at - 40) : at - 1].rstrip().endswith("="):
+                closing = self._find(stop[0], at)
+                if closing < 0:
+                    return self._find(">", at)
+                at = closing + 1
+        return -1
+
+    def after_element(self, tag: str, parent: str, position: int) -> int:
+        """Behind the end tag of a raw element; of one that is never closed, where its parent ends."""
+        for name, behind in ((tag, True), (parent, False)):
+            if name and name not in self.unclosed:
+                found = re.compile(rf"</{re.escape(name)}(?![a-zA-Z0-9:-])[^>]*>?", re.I).search(self.source, position)
+                if found:
+                    return found.end() if behind else found.start()
+                self.unclosed.add(name)
+        return len(self.source)
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]
@@ -72,12 +130,15 @@ def page_blocks(source: str | None) -> list[Block]:
     """Leaf blocks of a page in order, with decoded text and single spaces; empty runs are none.
 
     Path items are a tag and its class, id and role words. A tag left open is closed where the
-    markup rules imply it; a stray end tag is ignored."""
+    markup rules imply it; a stray end tag is ignored. Scripts, styles and templates have no text; what
+    a formula holds is part of the block around it."""
     source = source or ""
     stack: list[tuple[str, str]] = [("", "")]
     blocks: list[Block] = []
     parts: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    # The newest path, which neighbouring blocks share: its depth, its last element and itself.
+    path: list = []
+    linked, in_link, in_formula = 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -85,40 +146,43 @@ def page_blocks(source: str | None) -> list[Block]:
             text = "".join(parts)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                blocks.append(Block(tuple(item for _, item in stack[1:]), text, min(linked, len(text))))
+                if not path or path[0] != len(stack) or path[1] is not stack[-1]:
+                    path[:] = len(stack), stack[-1], tuple(item for _, item in stack[1:])
+                blocks.append(Block(path[2], text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def pop_to(depth: int) -> None:
         del stack[depth:]
 
-    position, size = 0, len(source)
+    position, size, tags = 0, len(source), _Tags(source)
     while position < size:
-        found = _TAG.search(source, position)
-        end = found.start() if found else size
+        found = tags.next(position)
+        end = found[0] if found else size
         if end > position:
             parts.append(source[position:end])
             linked += (end - position) if in_link else 0
         if not found:
             break
-        position = found.end()
-        tag = found[2]
+        _, position, ends, tag, attributes = found
         if tag is None:
             continue
-        tag = tag.lower()
-        if tag in HIDDEN_TEXT:
-            if not found[1] and not found[3].endswith("/"):
-                closing = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, position)
-                position = closing.end() if closing else size
+        if tag in RAW_TEXT:
+            if not ends and not attributes.endswith("/"):
+                position = tags.after_element(tag, stack[-1][0], position)
+            continue
+        if tag == "math":
+            in_formula = 0 if ends else 1
+        if in_formula or tag == "math":
             continue
         if tag == "a":
-            in_link = 0 if found[1] else 1
+            in_link = 0 if ends else 1
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
             continue
         flush()
-        if found[1]:
+        if ends:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == tag:
                     pop_to(depth)
@@ -133,8 +197,8 @@ def page_blocks(source: str | None) -> list[Block]:
             if stack[depth][0] in CLOSES.get(tag, ()):
                 pop_to(depth)
                 break
-        if tag not in VOID and not found[3].endswith("/"):
-            names = [w.lower() for m in _NAMES.finditer(found[3]) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")]
+        if tag not in VOID and not attributes.endswith("/") and len(stack) <= DEPTH:
+            names = [w.lower() for m in _NAMES.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")]
             stack.append((tag, " ".join([tag, *names])))
     flush()
     return blocks
@@ -330,7 +394,8 @@ def fit(
     pages: DataFrame, source: str = "html", sample: int = TRAIN_PAGES, blocks: int = TRAIN_BLOCKS
 ) -> Labeller:
     """A labeller trained on at most ``sample`` pages, those first by a digest of their markup, and
-    at most ``blocks`` blocks of each; an untrained one if no page has a block."""
+    at most ``blocks`` blocks of each, in runs from its beginning to its end (``spread``); an untrained
+    one if no page has a block."""
     body = F.col(f"`{source}`")
     chosen = pages.filter(body.isNotNull()).select(F.md5(body).alias("_order")).distinct()
     chosen = chosen.orderBy("_order").limit(sample)
@@ -348,6 +413,16 @@ def fit(
     return labeller
 
 
+def spread(n: int, most: int, runs: int = 4) -> np.ndarray:
+    """Places of at most ``most`` of ``n`` blocks: all, or ``runs`` runs of neighbours, the first at the
+    beginning, the last at the end, the others evenly between."""
+    if n <= most:
+        return np.arange(n)
+    length = most // runs
+    starts = np.linspace(0, n - length, runs).astype(np.int64)
+    return np.unique((starts[:, None] + np.arange(length)[None, :]).ravel())
+
+
 def _training_blocks(most: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = _PathVectors()
@@ -356,8 +431,9 @@ def _training_blocks(most: int):
             for body in batch.column(0).to_pylist():
                 blocks = page_blocks(body)
                 if blocks:
-                    xs.append(page_vectors(blocks, paths)[:most].tobytes())
-                    ys.append(np.array(rule_labels(blocks)[:most], np.float32).tobytes())
+                    chosen = spread(len(blocks), most)
+                    xs.append(page_vectors(blocks, paths)[chosen].tobytes())
+                    ys.append(np.array(rule_labels(blocks), np.float32)[chosen].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
 
     return read
