@@ -1,14 +1,21 @@
-"""What the corpus operators share: tables, stored intermediates, fixed text rules."""
+"""What the corpus operators share: tables, stored intermediates, fixed text rules, memory of workers."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsieve.session import scratch_path
 from flowsieve.sources.tables import read_table
 
-__all__ = ["SPACE", "held_out", "read_table", "row_struct", "small_side", "stored", "unpacked", "word_count"]
+__all__ = [
+    "SPACE", "held_out", "read_table", "release_memory", "row_struct", "small_side", "small_batches",
+    "stored", "unpacked", "word_count",
+]
 
 # Fixed: the white space of the text contracts, as the inside of a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -54,3 +61,26 @@ def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``frame``, a stored table of a few numbers a row, marked for broadcast if it was counted
     to be small; otherwise unmarked, and the join shuffles both sides."""
     return F.broadcast(frame) if frame.count() <= rows else frame
+
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
+    """``frame``, whose texts are to be handed to Python workers, with the session's default Arrow
+    batches made smaller: both sides hold a batch of whole texts. A setting of the user's own stays."""
+    session = frame.sparkSession
+    if session.conf.get(_BATCH_ROWS) == "10000":
+        session.conf.set(_BATCH_ROWS, str(rows))
+    return frame
+
+
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system: the worker goes on to other tasks, and
+    its executor's memory is shared with others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library keeps its own ways

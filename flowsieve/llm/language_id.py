@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.llm.common import stored
+from flowsieve.llm.common import release_memory, small_batches, stored
 
 ORDER = 4
 # Values of 14 bytes or less, keys of 12: some 150 MB in the driver and in a task at most.
@@ -82,6 +82,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ],
                     ["lang", "gram", "n", "rest"],
                 )
+    release_memory()
 
 
 def gram_counts(
@@ -236,7 +237,7 @@ class _WordMemory:
         if len(self.place) + len(new) > KNOWN_WORDS and self.place:
             self.forget()
             new = list({w for words in texts for w in words})
-        step = max(500, 80_000 // len(self.models.languages))
+        step = max(500, 40_000 // len(self.models.languages))
         for at in range(0, len(new), step):
             part = new[at : at + step]
             bits, coded = self.models.word_bits(part)
@@ -266,7 +267,8 @@ def _entropies(shared, emit):
                 entropy = bits / np.maximum(coded, 1)[:, None]
                 columns, names = emit(models, part, entropy, coded)
                 yield pa.RecordBatch.from_arrays(columns, names)
-        pa.default_memory_pool().release_unused()
+        memory.forget()
+        release_memory()
 
     return score
 
@@ -388,7 +390,7 @@ def fit(
     chosen by a hash of their doc_id: their cross-entropies are those of models that are counted
     without them, as for texts the models have not seen.
     """
-    labelled = docs.filter(F.col(lang).isNotNull()).select("doc_id", text, lang)
+    labelled = small_batches(docs).filter(F.col(lang).isNotNull()).select("doc_id", text, lang)
     # A row per language.
     sizes = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
     # A row-local choice, however large the language.
@@ -461,7 +463,7 @@ def identify(docs: DataFrame, models: CharacterModels | None, text: str = "text"
             *own, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"),
         )
-    rows = docs.select(F.col(f"`{text}`").alias("_body"), *own)
+    rows = small_batches(docs).select(F.col(f"`{text}`").alias("_body"), *own)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     if models.stored is not None:
         return _identified_by_joins(rows, models, kinds)

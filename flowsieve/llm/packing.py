@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowsieve.llm.common import stored
+from flowsieve.llm.common import release_memory, small_batches, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -159,7 +159,7 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
         tokenizer.words.forget()
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     return cut
 
@@ -180,7 +180,7 @@ def token_pieces(
     documents of their own. ``vocabulary`` is a path every executor can open.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select("doc_id", F.col(f"`{text}`")).mapInArrow(
+    return small_batches(docs).select("doc_id", F.col(f"`{text}`")).mapInArrow(
         _cutter(vocabulary, capacity, end_id, with_ids), schema
     )
 

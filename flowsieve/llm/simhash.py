@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.llm.common import row_struct, small_side, stored, unpacked
+from flowsieve.llm.common import release_memory, row_struct, small_batches, small_side, stored, unpacked
 from flowsieve.llm.components import connected_components
 from flowsieve.llm.exact_dedup import text_digest
 
@@ -63,13 +63,14 @@ def _fingerprints(shingle: int):
                 [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
                 ["doc_id", "fp", *batch.schema.names[2:]],
             )
+        release_memory()
 
     return compute
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the fingerprint's 64 bits as a signed long); null texts count as empty."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col(f"`{text}`")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col(f"`{text}`")).mapInArrow(
         _fingerprints(shingle), "doc_id bigint, fp bigint"
     )
 
@@ -270,7 +271,7 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", **options) -> Data
     of the documents that stay travel to the texts.
     """
     id_, digest = F.col("doc_id").cast("bigint"), F.unhex(text_digest(F.col(f"`{text}`")))
-    bodies = docs.select(id_.alias("doc_id"), F.col(f"`{text}`"), digest.alias("digest"))
+    bodies = small_batches(docs).select(id_.alias("doc_id"), F.col(f"`{text}`"), digest.alias("digest"))
     compute = _fingerprints(options.pop("shingle", SHINGLE))
     prints = stored(bodies.mapInArrow(compute, "doc_id bigint, fp bigint, digest binary"), "fingerprints")
     found = components(prints.select("doc_id", "fp"), **options)
