@@ -5,7 +5,8 @@ hash of a window's ``GRAM``-byte substrings (the leftmost of equals) is the wind
 windows have equal anchors at equal places, so windows only have to be compared with those of the
 same anchor string, and one row per anchor, about one for 70 bytes, stands for all its windows.
 
-Anchors are grouped by their string. Anchors whose whole stretch of windows is equal are copies.
+Anchors are grouped by their string; those of very frequent strings are first counted by their
+stretch, so that no string has to meet in a task. Anchors whose whole stretch of windows is equal are copies.
 Where one string has different stretches, one stretch of each kind is fetched, and the suffixes
 that start its windows are sorted by a mergesort whose comparisons find the common extension of two
 suffixes by binary search over the prefix hashes. A window with an equal neighbour repeats; equal
@@ -23,13 +24,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.llm.common import stored
+from flowsieve.llm.common import release_memory, small_batches, stored
+from flowsieve.llm.exact_dedup import frequent
 
 LENGTH = 200
 GRAM = 64
 CHUNK = 1 << 18
 LARGEST_GROUP = 8192
 SUFFIXES = 400_000
+# As many anchor strings at most are counted by kind before they are shuffled.
+FREQUENT = 512
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -153,6 +157,7 @@ def _anchor_rows(length: int, gram: int):
                     ],
                     ["gram", "stretch", "reach", "doc", "start"],
                 )
+        release_memory()
 
     return find
 
@@ -167,19 +172,21 @@ def anchor_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
 
     ``start`` is the first window start, ``stretch`` a hash of all bytes of the anchor's windows and
     ``reach`` the distances from first and last window start to the anchor, as two bytes."""
-    rows = docs.select("doc", F.col("text").cast("binary").alias("text"))
+    rows = small_batches(docs).select("doc", F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(
         _anchor_rows(length, gram), "gram bigint, stretch bigint, reach bigint, doc bigint, start bigint"
     )
 
 
+KIND = ["gram", "stretch", "reach"]
+
+
 def repeated_anchors(found: DataFrame) -> DataFrame:
     """Anchors whose string occurs more than once, with copies (number of equal stretches), several
     (the string has different stretches) and first (one of each kind of stretch).
 
     Windows run over sorted rows and spill; a string's rows are never held in memory together."""
-    kind = ["gram", "stretch", "reach"]
-    string, same = Window.partitionBy("gram"), Window.partitionBy(*kind)
+    string, same = Window.partitionBy("gram"), Window.partitionBy(*KIND)
     marked = found.withColumns(
         {
             "several": (F.min("stretch").over(string) != F.max("stretch").over(string))
@@ -191,6 +198,25 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
     return marked.filter((F.col("copies") > 1) | F.col("several"))
 
 
+def frequent_anchors(found: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """The same for the anchors of frequent strings, at most ``FREQUENT`` of them: the rows whose stretch
+    has copies, and one row of each kind of stretch where a string has several kinds.
+
+    Equal stretches fold to one row a task before any shuffle. Kinds with more than ``share`` rows, of
+    which there are fewer than ``FREQUENT``, are sent to the rows; the others meet them by kind.
+    """
+    kinds = found.groupBy(*KIND).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "start")).alias("at"))
+    kinds = stored(kinds, "kinds")
+    strings = kinds.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("several"))
+    # One row per frequent string.
+    first = kinds.join(F.broadcast(strings.filter("several")), "gram", "left_semi")
+    repeated = kinds.filter("copies > 1").select(*KIND, "copies")
+    heavy = F.broadcast(repeated.filter(F.col("copies") > share))
+    light = repeated.filter(F.col("copies") <= share)
+    rows = found.join(heavy, KIND).unionByName(found.join(heavy, KIND, "left_anti").join(light, KIND))
+    return rows, first.select("gram", "reach", "at.doc", "at.start", "copies")
+
+
 def _stretch_length(length: int) -> Column:
     windows = F.shiftright("reach", 8) - F.col("reach").bitwiseAND(F.lit(255))
     return windows + length
@@ -413,11 +439,17 @@ def repeated_spans(
     (doc, text); spans of a document may overlap."""
     if not 0 < length - gram < 256:
         raise ValueError("gram must be shorter than length by 1 to 255 bytes")
-    found = stored(repeated_anchors(anchor_table(docs, length, gram)), "anchors")
-    copies = found.filter("copies > 1").select(
-        "doc", "start", (F.col("start") + _stretch_length(length)).alias("end")
-    )
-    stretches = fetch_stretches(found.filter("several AND first"), docs, length)
+    every = stored(anchor_table(docs, length, gram), "anchors")
+    hot, n = frequent(every.select(F.col("gram").cast("string")), "gram", FREQUENT)
+    is_hot = F.col("gram").isin([int(g) for g in hot]) if hot else F.lit(False)
+    found = stored(repeated_anchors(every.filter(~is_hot)), "repeated-anchors")
+    rows, asked = found.filter("copies > 1"), found.filter("several AND first")
+    asked = asked.select("gram", "reach", "doc", "start", "copies")
+    if hot:
+        more, more_asked = frequent_anchors(every.filter(is_hot), n / (FREQUENT + 1))
+        rows, asked = rows.select("doc", "start", "reach").unionByName(more.select("doc", "start", "reach")), asked.unionByName(more_asked)
+    copies = rows.select("doc", "start", (F.col("start") + _stretch_length(length)).alias("end"))
+    stretches = fetch_stretches(asked, docs, length)
     ordered = stretches.select("gram", "reach", "doc", "start", "alone", "body")
     ordered = ordered.repartition("gram").sortWithinPartitions("gram")
     compared = stored(
