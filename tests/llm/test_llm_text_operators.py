@@ -205,6 +205,27 @@ def test_repeated_strings_are_removed(spark, documents, largest):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
 
 
+@pytest.mark.parametrize("frequent", [1, 4, 512])
+def test_frequent_strings_are_counted_by_kind(spark, monkeypatch, frequent):
+    """One passage in most texts, in several surroundings, with copies of whole texts, texts above the
+    size of a slice, rows without a doc_id and columns with the operator's names."""
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 4096)
+    rng = np.random.default_rng(2)
+    letters = list("abcdefgh ")
+    draw = lambda n: "".join(rng.choice(letters, n))
+    line, passage = draw(230), draw(400)
+    texts = [draw(int(rng.integers(0, 90))) + line + draw(int(rng.integers(0, 90))) for _ in range(40)]
+    texts += [line] * 60 + [draw(300) + passage + line] * 5 + [draw(9000) + passage + draw(5000), "z" * 12_000, draw(150), None, ""]
+    rows = [(None if i % 3 == 0 else i // 2, t, *"xxxxx") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(
+        rows, "doc_id bigint, text string, gram string, start string, doc string, spans string, kept string"
+    ).repartition(5)
+    found = suffix_dedup.remove_repeats(frame).collect()
+    got = Counter((r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in found)
+    assert got == plain_removal([(t or "").encode() for t in texts], 200)
+
+
 def test_suffix_sort_order_and_collisions(monkeypatch):
     rng = np.random.default_rng(3)
     buffer = rng.integers(0, 2, 900).astype(np.uint8)
