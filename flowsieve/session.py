@@ -37,9 +37,24 @@ def share_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{shared_folder(spark).rstrip('/')}/flowsieve/checkpoints")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/flowsieve/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, unique to this call."""
-    return f"{shared_folder(spark).rstrip('/')}/flowsieve/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has put under ``scratch_path``: for the end of a job, when its
+    results are stored elsewhere."""
+    _remove(spark, _application_folder(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
@@ -49,5 +64,4 @@ def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, path)

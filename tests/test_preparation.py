@@ -8,7 +8,7 @@ from flowsieve.functions.text import contains_ignore_case, strip_whitespace
 from flowsieve.operators import prepare
 from flowsieve.plans.preparation import prepare_files, quality_report
 from flowsieve.schema import FEATURES, FLOW_FIELDS, NUMERIC
-from flowsieve.session import work_folder
+from flowsieve.session import clear_scratch, scratch_path, shared_folder, work_folder
 from flowsieve.sources.flow_files import read_flows, read_if_exists, read_raw_flows
 from flowsieve.sources.results import read_result, write_result
 
@@ -194,3 +194,17 @@ def test_work_folder_is_removed(spark):
         spark.range(3).write.parquet(path)
         assert spark.read.parquet(path).count() == 3
     assert read_if_exists(spark, path) is None
+
+
+def test_scratch_of_an_application_is_cleared(spark):
+    other = f"{shared_folder(spark)}/kept"
+    spark.range(3).write.parquet(other)
+    session = spark.newSession()
+    session.conf.set("spark.checkpoint.dir", f"{shared_folder(spark)}/of-this-test")
+    paths = [scratch_path(session, "table") for _ in range(2)]
+    for path in paths:
+        session.range(2).write.parquet(path)
+    assert paths[0] != paths[1] and session.read.parquet(paths[1]).count() == 2
+    clear_scratch(session)
+    assert all(read_if_exists(session, path) is None for path in paths)
+    assert spark.read.parquet(other).count() == 3
