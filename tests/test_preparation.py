@@ -196,15 +196,14 @@ def test_work_folder_is_removed(spark):
     assert read_if_exists(spark, path) is None
 
 
-def test_scratch_of_an_application_is_cleared(spark):
+def test_scratch_of_an_application_is_cleared(spark, tmp_path, monkeypatch):
     other = f"{shared_folder(spark)}/kept"
     spark.range(3).write.parquet(other)
-    session = spark.newSession()
-    session.conf.set("spark.checkpoint.dir", f"{shared_folder(spark)}/of-this-test")
-    paths = [scratch_path(session, "table") for _ in range(2)]
+    monkeypatch.setattr("flowsieve.session.shared_folder", lambda _: str(tmp_path))
+    paths = [scratch_path(spark, "table") for _ in range(2)]
     for path in paths:
-        session.range(2).write.parquet(path)
-    assert paths[0] != paths[1] and session.read.parquet(paths[1]).count() == 2
-    clear_scratch(session)
-    assert all(read_if_exists(session, path) is None for path in paths)
+        spark.range(2).write.parquet(path)
+    assert paths[0] != paths[1] and spark.read.parquet(paths[1]).count() == 2
+    clear_scratch(spark)
+    assert all(read_if_exists(spark, path) is None for path in paths)
     assert spark.read.parquet(other).count() == 3
