@@ -27,7 +27,7 @@ from flowsieve.llm.common import release_memory, small_batches, stored
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN = 300_000
+KNOWN = 200_000
 LINE = 64
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Fixed: the word pattern of the vocabulary file.
@@ -132,8 +132,8 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 keys, piece, start, length, crc, ids = [], [], [], [], [], []
                 for key, body in zip(part.column(0).to_pylist(), tokenizer.encode(texts)):
