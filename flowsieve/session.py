@@ -22,9 +22,18 @@ def build_session(app_name: str = "flowsieve", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+# Core settings of a running session cannot be changed; this one of our own stands in where none is set.
+LOCAL_FOLDER = "flowsieve.local.folder"
+
+
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder in ``spark.checkpoint.dir`` or, where a local session names none, in ``LOCAL_FOLDER``."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_FOLDER, None)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach."""
+    folder = named_folder(spark)
     if not folder:
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     return folder
@@ -33,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
 def share_checkpoints(spark: SparkSession) -> None:
     """Let Spark's own checkpoints go to the shared folder, unless they have a folder already."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty() and spark.conf.get("spark.checkpoint.dir", None):
+    if context._jsc.sc().getCheckpointDir().isEmpty() and named_folder(spark):
         context.setCheckpointDir(f"{shared_folder(spark).rstrip('/')}/flowsieve/checkpoints")
 
 
