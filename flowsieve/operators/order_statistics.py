@@ -2,9 +2,9 @@
 
 A group may hold most of a very large table, so its values are never gathered in one task, sorted or
 shuffled. Quantiles are found by radix selection: a value's order is that of a 64-bit number, and each
-round counts the values of every open bracket by their next 16 bits. Counting is one aggregate with
-partial combination, so what is shuffled are counts; the digit that holds a wanted rank becomes the
-next round's bracket, until all values of the bracket are the same.
+round counts the values of every open bracket by 16 bits of it, from the highest in which the bracket's
+values differ. Counting is one aggregate with partial combination, so what is shuffled are counts; the
+values of the digit that holds a wanted rank become the next round's bracket, until they are the same.
 """
 
 from __future__ import annotations
@@ -29,16 +29,18 @@ def long_values(df: DataFrame, features: list[str], keys: list[str]) -> DataFram
     return df.select(*keys, F.inline(F.array(*pairs)))
 
 
-def order_code(value: Column) -> Column:
-    """A signed 64-bit number with the order of the double ``value``: exponent and mantissa of its
-    magnitude, as the double's own bits hold them, with its sign. Zeros are one value; NaN has none.
+def with_order_code(rows: DataFrame, value: str = "value") -> DataFrame:
+    """Rows with ``code``, a signed 64-bit number with the order of the double column ``value``:
+    exponent and mantissa of its magnitude, as the double's own bits hold them, with its sign. Zeros
+    are one value, and nulls have its code; NaN has none.
+
+    Steps that are used more than once are columns of their own, so that each is computed once a row.
     """
-    size = F.abs(value)
+    size, power, exponent = F.abs(value), F.col("_power"), F.col("_exponent")
     # The logarithm may be off by one next to a power of two, which the comparisons mend.
-    guess = F.floor(F.log2(size))
-    power = F.pow(F.lit(2.0), guess)
-    exponent = guess - F.when(power > size, 1).when(size >= power * 2, -1).otherwise(0)
-    fraction = size / F.pow(F.lit(2.0), exponent) - 1
+    mended = F.col("_guess") - F.when(power > size, 1).when(size >= power * 2, -1).otherwise(0)
+    unit = F.when(exponent == F.col("_guess"), power).otherwise(F.pow(F.lit(2.0), exponent))
+    fraction = size / unit - 1
     normal = (exponent + 1023) * F.lit(1 << _MANTISSA) + (fraction * float(1 << _MANTISSA)).cast("bigint")
     code = (
         F.when(size == 0, F.lit(0).cast("bigint"))
@@ -47,7 +49,15 @@ def order_code(value: Column) -> Column:
         .when(size < 2.0**-1022, (size * 2.0**537 * 2.0**537).cast("bigint"))
         .otherwise(normal)
     )
-    return F.when(value < 0, -code).otherwise(code)
+    staged = (
+        rows.withColumn("_guess", F.least(F.floor(F.log2(size)), F.lit(1023)))
+        .withColumn("_power", F.pow(F.lit(2.0), F.col("_guess")))
+        .withColumn("_exponent", mended)
+        .withColumn("_code", code)
+    )
+    signed = F.when(F.col(value) < 0, -F.col("_code")).otherwise(F.col("_code"))
+    # Never null, or joins would test all of the above for null below the steps, without their sharing.
+    return staged.withColumn("code", F.coalesce(signed, F.lit(0).cast("bigint"))).drop("_guess", "_power", "_exponent", "_code")
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -55,8 +65,8 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
 
 
 def _located(counted: DataFrame, groups: list[str], ranks: DataFrame | None, ends: Column | None) -> DataFrame:
-    """The digit that holds each wanted rank: groups, ``rank_name``, ``rank`` within it, ``prefix``,
-    ``low`` and ``high``.
+    """The digit that holds each wanted rank: groups, ``rank_name``, ``rank`` within it and its bracket,
+    from ``low`` (in order ``base``) to ``high`` (``top``).
 
     ``counted`` has at most 2^16 digits a group, so the windows are small whatever the data.
     """
@@ -70,12 +80,13 @@ def _located(counted: DataFrame, groups: list[str], ranks: DataFrame | None, end
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
         wanted = placed.join(asked, same).drop(*[f"_{c}" for c in groups])
     inside = (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("n"))
-    kept = [c for c in groups if c != "prefix"]
+    kept = [c for c in groups if c != "base"]
     extra = ["total"] if ranks is None else []
-    return wanted.filter(inside).select(
-        *kept, "rank_name", (F.col("rank") - F.col("below")).alias("rank"),
-        F.col("digit").alias("prefix"), "low", "high", *extra,
-    )
+    found = wanted.filter(inside).select(
+        *kept, "rank_name", (F.col("rank") - F.col("below")).alias("rank"), "low", "high", *extra
+    )
+    lows = with_order_code(found, "low").withColumnRenamed("code", "base")
+    return with_order_code(lows, "high").withColumnRenamed("code", "top")
 
 
 def _digits(values: DataFrame, groups: list[str]) -> DataFrame:
@@ -84,9 +95,9 @@ def _digits(values: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def _kept(frame: DataFrame, name: str) -> DataFrame:
-    """A table of one row per group and wanted rank, written to the shared folder: the rounds above it
-    are not computed again."""
+def kept_rows(frame: DataFrame, name: str) -> DataFrame:
+    """A small table, a row per group or wanted rank, written to the shared folder: what is above it is
+    not computed again."""
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
@@ -101,7 +112,8 @@ def feature_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group and feature, one column per named probability.
 
-    Four rounds at most, each one pass over the features that still have an open bracket. Nulls and
+    Four rounds at most, fewer where values agree in their highest bits, each one pass over the features
+    that still have an open bracket. Nulls and
     NaN are left out, and a feature of a group without other values has no row. With
     ``fixed_groups`` the caller vouches that the number of groups is set by its arguments and not by
     the data, so the open brackets (a row per group, feature and rank) may be broadcast; otherwise
@@ -111,31 +123,32 @@ def feature_quantiles(
 
     def coded(names: list[str]) -> DataFrame:
         rows = long_values(df, names, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        return rows.withColumn("code", order_code(F.col("value")))
+        return with_order_code(rows)
 
     ends = []
     for name, probability in probabilities.items():
         position = (F.col("total") - 1) * F.lit(float(probability))
         for end, function in (("lo", F.floor), ("hi", F.ceil)):
             ends.append(F.struct(F.lit(f"{name}.{end}").alias("rank_name"), (function(position) + 1).alias("rank")))
-    shift = 64 - DIGIT_BITS
-    counted = _digits(coded(features).withColumn("digit", F.shiftright("code", shift)), groups)
-    found = _kept(_located(counted, groups, None, F.array(*ends)), "digits")
+    first = F.shiftright("code", 64 - DIGIT_BITS)
+    found = kept_rows(_located(_digits(coded(features).withColumn("digit", first), groups), groups, None, F.array(*ends)), "digits")
     totals = found.select(*groups, "total").distinct()
-    done = [found.filter("low = high").drop("total")]
-    open_ = found.filter("low < high").drop("total")
-    while shift:
-        names = [r["feature"] for r in open_.select("feature").distinct().collect()]
-        if not names:
-            break
-        brackets = open_.select(*[F.col(c).alias(f"_{c}") for c in groups], "prefix").distinct()
+    done, open_ = [found.filter("low = high").drop("total")], found.filter("low < high").drop("total")
+    while names := open_.agg(F.collect_set("feature").alias("names")).first()["names"]:
+        # The highest of the bits in which the codes of a bracket differ, and the 15 below it. A bracket
+        # of the first round spans less than 2^48, so three more rounds settle any.
+        lower = F.greatest(F.floor(F.log2(F.col("top") - F.col("base"))) - (DIGIT_BITS - 1), F.lit(0)).cast("int")
+        brackets = open_.select(
+            *[F.col(c).alias(f"_{c}") for c in groups], "base", "top", lower.alias("_lower"),
+            F.shiftright("base", 64 - DIGIT_BITS).alias("_prefix"),
+        ).distinct()
         brackets = F.broadcast(brackets) if fixed_groups else brackets
-        rows = coded(names).withColumn("_own", F.shiftright("code", shift))
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups])
-        inside = rows.join(brackets, same & (F.col("_own") == F.col("prefix")))
-        shift -= DIGIT_BITS
-        counted = _digits(inside.withColumn("digit", F.shiftright("code", shift)), [*groups, "prefix"])
-        found = _kept(_located(counted, [*groups, "prefix"], open_, None), "digits")
+        within = (first == F.col("_prefix")) & F.col("code").between(F.col("base"), F.col("top"))
+        inside = coded(names).join(brackets, same & within)
+        digit = F.call_function("shiftright", F.col("code") - F.col("base"), F.col("_lower"))
+        counted = _digits(inside.withColumn("digit", digit), [*groups, "base"])
+        found = kept_rows(_located(counted, [*groups, "base"], open_, None), "digits")
         done.append(found.filter("low = high"))
         open_ = found.filter("low < high")
     located = reduce(DataFrame.unionByName, done)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.operators.order_statistics import exact_quantiles, feature_quantiles
+from flowsieve.operators.order_statistics import exact_quantiles, feature_quantiles, kept_rows
 from flowsieve.operators.order_statistics import long_values as long_features
 from flowsieve.schema import NORMAL_LABEL, NUMERIC
 
@@ -35,9 +37,19 @@ def feature_summary(
     """Mean, sample deviation, minimum, median and maximum per group and feature."""
     keys = list(keys)
     parts = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    moments = _moments(df, features, keys, parts)
-    medians = feature_quantiles(df, keys, features, {"median": 0.5})
-    joined = moments.join(medians, [*keys, "feature"], "left")
+    # One row per group and feature, stored because it is also asked which features vary: the others
+    # have their one value as median and need not be unpivoted and counted.
+    moments = kept_rows(_moments(df, features, keys, parts), "moments")
+    # As many names at most as are asked for. NaN sorts above all numbers.
+    varying = {r["feature"] for r in moments.filter("min < max").select("feature").distinct().collect()}
+    alone = F.when((F.col("min") == F.col("max")) & ~F.isnan("min"), F.col("min"))
+    if varying:
+        medians = feature_quantiles(df, keys, [f for f in features if f in varying], {"median": 0.5})
+        named = medians.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "feature")], "median")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "feature")])
+        joined = moments.join(named, same, "left").withColumn("median", F.coalesce("median", alone))
+    else:
+        joined = moments.withColumn("median", alone)
     return joined.select(
         *keys,
         "feature",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.ml.sampling import stratified_flag, stratified_split
 from flowsieve.operators import profile
-from flowsieve.operators.order_statistics import _digits, exact_quantiles, feature_quantiles, order_code
+from flowsieve.operators.order_statistics import _digits, exact_quantiles, feature_quantiles, with_order_code
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +76,26 @@ def test_summary_of_one_row_has_no_deviation(spark):
     assert (row["mean"], row["std"], row["min"], row["median"], row["max"]) == (2.0, None, 2.0, 2.0, 2.0)
 
 
+def test_feature_summary_of_varying_and_constant_features(spark):
+    nan = float("nan")
+    rows = [
+        ("a", 1.0, 7.0, nan, None), ("a", 2.0, 7.0, nan, None), ("a", 9.0, None, nan, None),
+        ("b", 4.0, 7.0, 3.0, None), ("b", None, 7.0, nan, None), (None, 5.0, 8.0, 1.0, None), (None, 6.0, 8.0, 2.0, None),
+    ]
+    frame = spark.createDataFrame(rows, "label string, v double, c double, n double, z double")
+    got = {
+        (r["label"], r["feature"]): r["median"]
+        for r in profile.feature_summary(frame, ["v", "c", "n", "z"], ("label",)).collect()
+    }
+    assert got == {
+        ("a", "v"): 2.0, ("a", "c"): 7.0, ("a", "n"): None, ("a", "z"): None,
+        ("b", "v"): 4.0, ("b", "c"): 7.0, ("b", "n"): 3.0, ("b", "z"): None,
+        (None, "v"): 5.5, (None, "c"): 8.0, (None, "n"): 1.5, (None, "z"): None,
+    }
+    constant = profile.feature_summary(frame.filter("label = 'a'"), ["c", "z"], ("label",))
+    assert {(r["feature"], r["median"]) for r in constant.collect()} == {("c", 7.0), ("z", None)}
+
+
 def test_histogram_matches_numpy(spark):
     draw = random.Random(1)
     rows = [("normal", draw.gauss(0, 1)) for _ in range(500)] + [("a", 5.0)] * 7
@@ -98,7 +118,7 @@ def test_box_whiskers(spark):
 def test_values_are_counted_and_neither_ordered_nor_gathered(spark, skewed):
     """Only counts of digits are shuffled: no value is a grouping, ordering or partitioning key."""
     frame, _ = skewed
-    values = profile.long_features(frame, ["v"], ["g"]).withColumn("code", order_code(F.col("value")))
+    values = with_order_code(profile.long_features(frame, ["v"], ["g"]))
     counted = _digits(values.withColumn("digit", F.shiftright("code", 48)), ["g", "feature"])
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "rangepartitioning" not in plan
@@ -116,7 +136,7 @@ def test_codes_have_the_order_of_doubles(spark):
     values += powers + [float(v) for v in near] + [0.0, float("inf"), 5e-324, 2.2250738585072014e-308, 0.1, 0.2, 0.3]
     values += [-v for v in values]
     frame = spark.createDataFrame([(v,) for v in values], "v double")
-    for v, code in frame.select("v", order_code(F.col("v")).alias("c")).collect():
+    for v, code in with_order_code(frame, "v").select("v", "code").collect():
         own = int(np.abs(np.float64(v)).view(np.int64))
         assert code == (-own if v < 0 else own)
 
