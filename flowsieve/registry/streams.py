@@ -3,6 +3,8 @@ alerts of two streams over the same flows."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -14,6 +16,7 @@ from flowsieve.registry.core import only, over_flows, query, test_decisions, tes
 from flowsieve.schema import FEATURES, SCORE_FIELDS, STREAMED_SCHEMA
 from flowsieve.session import scratch_path
 from flowsieve.sources.alert_table import create_alert_table, create_key_ledger, read_alerts
+from flowsieve.sources.tables import read_table
 from flowsieve.streaming.scoring import (
     REJECT_SCHEMA,
     latest_statistics,
@@ -23,7 +26,10 @@ from flowsieve.streaming.scoring import (
     stream_files,
 )
 
-FILES = 4
+# Batches of a stream.
+BATCHES = 4
+# As many order lines go to one file; about a third of them are test flows.
+FILE_LINES = 150_000
 RECORDS = StructType([StructField("flow_id", StringType()), StructField("body", StringType())])
 _RESULTS = [name for name, _ in SCORE_FIELDS]
 
@@ -49,9 +55,22 @@ def _bodies(spark, sf_dir) -> DataFrame:
     return flows.select("flow_id", F.when(last == 3, F.substring(body, 1, 40)).otherwise(body).alias("body"))
 
 
-def _arrive(frame: DataFrame, folder: str, files: int = FILES) -> None:
-    """Store a frame as ``files`` files, dealt by flow."""
-    frame.repartition(files, F.pmod(F.xxhash64("flow_id"), F.lit(files))).write.mode("append").parquet(folder)
+def _arrive(frame: DataFrame, folder: str, lines: int, batches: int = BATCHES) -> None:
+    """Add a frame made of ``lines`` order lines to a folder as a multiple of ``batches`` files, dealt by
+    flow. A file is written by one task, so their number grows with the lines."""
+    files = batches * max(1, math.ceil(lines / (BATCHES * FILE_LINES)))
+    frame.repartition(files, "flow_id").write.mode("append").parquet(folder)
+
+
+def _lines(spark, sf_dir) -> int:
+    """Order lines of the table; its files tell, no column is read."""
+    return read_table(spark, sf_dir, "lineitem").count()
+
+
+def _stream(spark, folder: str, schema: StructType, batches: int = BATCHES) -> DataFrame:
+    """The folder's files as a stream that takes them in ``batches`` even shares."""
+    files = len(spark.read.schema(schema).parquet(folder).inputFiles())
+    return stream_files(spark, folder, schema, maxFilesPerTrigger=max(1, math.ceil(files / batches)))
 
 
 def _small_detector(spark, sf_dir):
@@ -59,12 +78,12 @@ def _small_detector(spark, sf_dir):
 
 
 def _scored_stream(spark, sf_dir):
-    """All records through the scoring stream, a file a batch: paths of its two tables, the detector
+    """All records through the scoring stream in ``BATCHES`` batches: paths of its two tables, the detector
     and the folder of the records."""
     folder, scored, rejected = (scratch_path(spark, n) for n in ("records", "scored", "rejected"))
-    _arrive(_bodies(spark, sf_dir), folder)
+    _arrive(_bodies(spark, sf_dir), folder, _lines(spark, sf_dir))
     detector = _small_detector(spark, sf_dir)
-    records = stream_files(spark, folder, RECORDS, maxFilesPerTrigger=1)
+    records = _stream(spark, folder, RECORDS)
     start_scoring(records, detector, scored, rejected, scratch_path(spark, "progress")).awaitTermination()
     return scored, rejected, detector, folder
 
@@ -109,9 +128,9 @@ def streamed_rejects(spark, sf_dir):
 
 
 def _decided_files(spark, sf_dir, folder: str, parts: range) -> None:
-    """The test flows' decisions of some of ``FILES`` parts, a file each."""
-    rows = test_decisions(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("flow_id"), F.lit(FILES)))
-    _arrive(rows.filter(F.col("part").between(parts[0], parts[-1])).drop("part"), folder, len(parts))
+    """The test flows' decisions of some of ``BATCHES`` parts, which a stream takes a batch each."""
+    rows = test_decisions(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("flow_id"), F.lit(BATCHES)))
+    _arrive(rows.filter(F.col("part").between(parts[0], parts[-1])).drop("part"), folder, _lines(spark, sf_dir), len(parts))
 
 
 @query(over_flows(_STATISTICS.format(table="decided")))
@@ -122,7 +141,7 @@ def restarted_statistics(spark, sf_dir):
     schema = test_decisions(spark, sf_dir).schema
     for parts in (range(0, 2), range(2, 4)):
         _decided_files(spark, sf_dir, folder, parts)
-        rows = stream_files(spark, folder, schema, maxFilesPerTrigger=1)
+        rows = _stream(spark, folder, schema, parts.stop)
         start_statistics(rows, table, progress, interval=None).awaitTermination()
     return latest_statistics(spark, table)
 
@@ -132,8 +151,8 @@ def running_statistics(spark, sf_dir):
     """Statistics after every batch of a running input: they grow from batch to batch, and the last ones
     count every flow."""
     folder, table, progress = (scratch_path(spark, n) for n in ("decided", "statistics", "progress"))
-    _decided_files(spark, sf_dir, folder, range(FILES))
-    rows = stream_files(spark, folder, test_decisions(spark, sf_dir).schema, maxFilesPerTrigger=1)
+    _decided_files(spark, sf_dir, folder, range(BATCHES))
+    rows = _stream(spark, folder, test_decisions(spark, sf_dir).schema)
     start_statistics(rows, table, progress, interval=None).awaitTermination()
     last = latest_statistics(spark, table)
     kinds = {"ATTACK": "attacks", "NORMAL": "normal", "SUSPICIOUS": "suspicious"}
@@ -152,7 +171,7 @@ def alerts_of_two_streams(spark, sf_dir):
     for parts, streams in ((range(0, 2), (first,)), (range(2, 4), (second, first))):
         _decided_files(spark, sf_dir, folder, parts)
         for progress in streams:
-            rows = stream_files(spark, folder, schema, maxFilesPerTrigger=1)
+            rows = _stream(spark, folder, schema, parts.stop)
             start_alerting(rows, table, progress, ledger=ledger).awaitTermination()
     return only(read_alerts(spark, table), *_WITHOUT_TIME)
 
