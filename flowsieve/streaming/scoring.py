@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flowsieve.functions.checks import accepted_flows, check_records, rejected_records
 from flowsieve.ml.bundle import Detector
+from flowsieve.ml.features import rebalanced
 from flowsieve.operators.alerts import alert_rows, decision_statistics
 from flowsieve.sources.alert_table import append_alerts
 from flowsieve.sources.flow_files import read_if_exists
@@ -64,12 +65,13 @@ def start_scoring(
 ) -> StreamingQuery:
     """Store the scored records of every micro-batch in one table and the rejected ones in another.
 
-    Both are partitioned by batch, and a replayed batch replaces itself. The batch is kept while
-    its two parts are written. The available input is processed and the query ends.
+    Both are partitioned by batch, and a replayed batch replaces itself. The batch is spread over all
+    tasks, however few files it came in, and kept while its two parts are written. The available input
+    is processed and the query ends.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = rebalanced(batch).persist()
         try:
             for rows, path in (
                 (score_records(batch, detector), scored),
