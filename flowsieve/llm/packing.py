@@ -10,6 +10,7 @@ the pieces within each length, and looks every piece up in the runs.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import deque
@@ -35,7 +36,8 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 # Fixed: what may stand in a text that is split into words before encoding. These characters are
 # left alone by NFC and their only white space is blank, tab and line ends; anything else, and
 # the marks of special tokens, sends the whole text to the tokenizer as it is.
-UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]|<\|")
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
+MARK_START = "<|"
 SPECIAL = re.compile(r"[0-9'_\xb2\xb3\xb9\xbc-\xbe]")
 MARKS = re.compile(r"[^\w\s]+")
 
@@ -101,7 +103,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [None if UNUSUAL.search(text) else text_words(text.lower()) for text in texts]
+        split = [None if MARK_START in text or UNUSUAL.search(text) else text_words(text.lower()) for text in texts]
         new = self.words.missing(set().union(*(words for words in split if words)))
         for i in range(0, len(new), 64 * LINE):
             some = new[i : i + 64 * LINE]
@@ -130,6 +132,8 @@ def _cutter(path: str, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task has one core: threads beside it would spend the time of other tasks' cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = _tokenizer(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -1,6 +1,7 @@
 """Exact dedup, near dedup, suffix dedup, sharding, mixing and packing on small tables."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -396,3 +397,16 @@ def test_unusual_texts_get_the_tokenizers_ids():
     texts += [f"a{chr(c)}b {chr(c)}" for c in range(0x20, 0x300)]
     want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert own.encode(texts) == want and own.encode(texts) == want
+
+
+def test_a_packing_task_encodes_on_its_own_core(monkeypatch):
+    import pyarrow as pa
+
+    texts = [None, "Two words.", "<|endoftext|> x", "odd\u2028space"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    found = [b.to_pydict() for b in packing._cutter(vocabulary_path(), 2048, 0, True)(iter([batch]))]
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "true"  # a user's own setting stays
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM")
+    assert [b.to_pydict() for b in packing._cutter(vocabulary_path(), 2048, 0, True)(iter([batch]))] == found
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
