@@ -29,7 +29,7 @@ from flowsieve.llm.common import release_memory, small_batches, stored
 CAPACITY = 2048
 END_ID = 0
 KNOWN = 200_000
-LINE = 64
+LINE = 256
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Fixed: the word pattern of the vocabulary file.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -42,26 +42,33 @@ SPECIAL = re.compile(r"[0-9'_\xb2\xb3\xb9\xbc-\xbe]")
 MARKS = re.compile(r"[^\w\s]+")
 
 
-class Memory:
-    """A dictionary of bounded size: two generations, of which the older is forgotten when the
-    newer is full. What is used moves to the newer one."""
+class Memory(dict):
+    """A dictionary of bounded size: two generations, of which the older is forgotten when the newer
+    is full. What is used moves to the newer one. A key that is not known gets an empty value, to be
+    filled in place; the two are put down in ``wanted`` and ``empty``."""
 
     def __init__(self, most: int):
-        self.most, self.new, self.old = most, {}, {}
-
-    def missing(self, keys: set) -> list:
-        """Keys not known; the known ones are in ``new`` afterwards."""
-        absent = keys.difference(self.new)
-        if len(self.new) + len(absent) > self.most:
-            self.old, self.new = self.new, {}
-            absent = keys
-        for key in absent & self.old.keys():
-            self.new[key] = self.old[key]
-        return list(absent.difference(self.new))
+        self.most, self.old, self.wanted, self.empty = most, {}, [], []
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = bytearray()
+            self.wanted.append(key)
+            self.empty.append(found)
+        self[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Begin the next generation if this one is full."""
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
 
     def forget(self) -> None:
         """Between tasks a worker, which may go on to other work, keeps nothing."""
-        self.new, self.old = {}, {}
+        self.clear()
+        self.old, self.wanted, self.empty = {}, [], []
 
 
 class WordTokenizer:
@@ -104,14 +111,20 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [None if MARK_START in text or UNUSUAL.search(text) else text_words(text.lower()) for text in texts]
-        new = self.words.missing(set().union(*(words for words in split if words)))
-        for i in range(0, len(new), 64 * LINE):
-            some = new[i : i + 64 * LINE]
-            self.words.new.update(zip(some, self._encode_words(some)))
-        word = self.words.new.__getitem__
+        self.words.turn()
+        word = self.words.__getitem__
+        try:
+            parts = [None if words is None else list(map(word, words)) for words in split]
+            new, empty = self.words.wanted, self.words.empty
+            self.words.wanted, self.words.empty = [], []
+            for i in range(0, len(new), 16 * LINE):
+                for value, ids in zip(empty[i : i + 16 * LINE], self._encode_words(new[i : i + 16 * LINE])):
+                    value += ids
+        except BaseException:
+            self.words.forget()  # it may hold values that were not filled
+            raise
         return [
-            self._encode([text])[0] if words is None else b"".join(map(word, words))
-            for text, words in zip(texts, split)
+            self._encode([text])[0] if ids is None else b"".join(ids) for text, ids in zip(texts, parts)
         ]
 
 

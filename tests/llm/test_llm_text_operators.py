@@ -410,3 +410,22 @@ def test_a_packing_task_encodes_on_its_own_core(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM")
     assert [b.to_pydict() for b in packing._cutter(vocabulary_path(), 2048, 0, True)(iter([batch]))] == found
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_words_are_asked_for_once_and_forgotten_if_their_ids_are_not_found(monkeypatch):
+    own, plain = packing.WordTokenizer(vocabulary_path(), known=6), packing.WordTokenizer(vocabulary_path())
+    assert own.encode(["a red fox", "a red hen"]) == plain.encode(["a red fox", "a red hen"])
+    asked, encode = [], own._encode_words
+    monkeypatch.setattr(own, "_encode_words", lambda words: asked.append(list(words)) or encode(words))
+    texts = ["a hen and a cow", "one more cow", "hen"]
+    assert own.encode(texts) == plain.encode(texts) and asked == [["and", "cow", "one", "more"]]
+    assert own.encode(["a fox"]) == plain.encode(["a fox"]) and len(asked) == 1 and len(own.words) == 2
+
+    def fails(words):
+        raise RuntimeError
+
+    monkeypatch.setattr(own, "_encode_words", fails)
+    with pytest.raises(RuntimeError):
+        own.encode(["never seen"])
+    monkeypatch.setattr(own, "_encode_words", encode)
+    assert own.encode(["never seen"]) == plain.encode(["never seen"])
